@@ -368,7 +368,8 @@ def all_sql() -> dict[str, str]:
         "ride_key": "SELECT taxi_type, ride_key FROM valid_all",
         "financial_flags": "SELECT taxi_type, financial_inconsistency_flag, zero_fare_with_distance_flag,"
         " count(*) AS n_trips FROM valid_all GROUP BY ALL",
-        "dedup_fhv": "SELECT * FROM silver_fhv",
+        "dedup_fhv": "SELECT * EXCLUDE (record_hash, ride_key, financial_inconsistency_flag,"
+        " zero_fare_with_distance_flag) FROM silver_fhv",
         "fact_trips": "SELECT * FROM fact",
         "type_summary": _by_type(
             f"taxi_type, count(*) AS n_trips, {_AVG_TOTAL}, count(total_amount) AS with_total_amount", "fact"

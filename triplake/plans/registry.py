@@ -79,7 +79,7 @@ def all_queries() -> dict[str, Query]:
         "financial_flags": _query(
             lambda at: at.together(at.valid).groupBy("taxi_type", *FLAGS).agg(audit.n_rows())
         ),
-        "dedup_fhv": _query(lambda at: one_per_content(at.valid("fhv"))),
+        "dedup_fhv": _query(lambda at: one_per_content(layer.valid(at.raw("fhv"), "fhv", SETTINGS))),
         "fact_trips": _query(lambda at: at.fact()),
         "type_summary": _query(lambda at: kpi.type_summary(at.fact())),
         "kpi_monthly": _query(lambda at: kpi.yellow_totals(at.fact())),

@@ -24,7 +24,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _later(ts: str, seconds: str) -> str:
-    return f"timestampadd(SECOND, cast({seconds} AS bigint), {ts})"
+    return f"{ts} + cast({seconds} AS bigint) * INTERVAL '1' SECOND"
 
 
 def _zone(key: str) -> str:
@@ -35,7 +35,7 @@ _YELLOW_PICKUP = _later("l_shipdate", "l_partkey % 24 * 3600")
 _YELLOW = {
     "VendorID": "l_suppkey",
     "tpep_pickup_datetime": _YELLOW_PICKUP,
-    "tpep_dropoff_datetime": _later(_YELLOW_PICKUP, "(l_quantity * 60 - 120) * if(l_linenumber = 7, 40, 1)"),
+    "tpep_dropoff_datetime": _later(f"({_YELLOW_PICKUP})", "(l_quantity * 60 - 120) * if(l_linenumber = 7, 40, 1)"),
     "passenger_count": "cast(l_linenumber - 1 AS double)",
     "trip_distance": "l_quantity * 5",
     "PULocationID": _zone("l_partkey"),
@@ -49,7 +49,7 @@ _GREEN_PICKUP = _later("o_orderdate", "o_orderkey % 24 * 3600")
 _GREEN = {
     "VendorID": "o_custkey % 2 + 1",
     "lpep_pickup_datetime": _GREEN_PICKUP,
-    "lpep_dropoff_datetime": _later(_GREEN_PICKUP, "(o_custkey % 60 - 2) * 60 * if(o_orderkey % 50 = 0, 40, 1)"),
+    "lpep_dropoff_datetime": _later(f"({_GREEN_PICKUP})", "(o_custkey % 60 - 2) * 60 * if(o_orderkey % 50 = 0, 40, 1)"),
     "passenger_count": "if(o_orderstatus = 'P', NULL, cast(o_orderkey % 7 AS double))",
     "trip_distance": "cast(o_orderkey % 250 AS double)",
     "PULocationID": _zone("o_custkey"),
