@@ -1,0 +1,85 @@
+"""Properties of the plans that keep them fast on large data."""
+
+import pytest
+
+from __spark_entry__ import queries
+from tests.conftest import SF_DIR
+from triplake.operators.fact import fact_trips
+from triplake.plans import silver as layer
+from triplake.sources import standins
+from triplake.sources.standins import SETTINGS
+
+QUERIES = queries()
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def formatted(df):
+    """The plan with its lists in full."""
+    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_python_workers_and_no_cross_products(spark, name):
+    plan = executed(QUERIES[name](spark, SF_DIR))
+    for unwanted in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert unwanted not in plan
+
+
+@pytest.mark.parametrize("taxi_type", ["yellow", "green", "hvfhv"])
+def test_silver_is_one_pass_without_a_shuffle(spark, taxi_type):
+    assert "Exchange" not in executed(QUERIES[f"silver_{taxi_type}"](spark, SF_DIR))
+
+
+def test_fhv_shuffles_once_and_carries_no_digest(spark):
+    plan = executed(QUERIES["silver_fhv"](spark, SF_DIR))
+    assert plan.count("Exchange") == 1
+    assert "sha2" not in plan[plan.index("Exchange") :]
+
+
+def test_a_question_about_yellow_reads_only_yellow(spark):
+    plan = executed(QUERIES["kpi_monthly"](spark, SF_DIR))
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+    scan = plan[plan.index("FileScan") :]
+    assert "l_suppkey" not in scan and "sha2" not in plan
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("raw") / "yellow")
+    standins.raw(spark, SF_DIR, "yellow").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_rules_reach_the_parquet_scan(spark, stored):
+    plan = formatted(layer.valid(stored, "yellow", SETTINGS))
+    pushed = next(line for line in plan.splitlines() if line.startswith("PushedFilters"))
+    for part in (
+        "GreaterThanOrEqual(fare_amount,0.0)",
+        "GreaterThanOrEqual(tpep_pickup_datetime,1996-01-01T00:00)",
+        "LessThan(tpep_pickup_datetime,2024-01-25T00:00)",
+        "LessThanOrEqual(trip_distance,200.0)",
+    ):
+        assert part in pushed
+
+
+def test_partitioned_write_does_not_sort(spark, stored):
+    fact = fact_trips([layer.silver(stored, "yellow", SETTINGS)])
+    last = [name for name in fact.columns if name != "pickup_month"] + ["pickup_month"]
+    empty = fact.select(last).limit(0).write.mode("overwrite").partitionBy("pickup_month")
+    empty.saveAsTable("partitioned_fact")
+
+    def plan():
+        insert = "EXPLAIN INSERT OVERWRITE TABLE partitioned_fact SELECT * FROM {fact}"
+        return spark.sql(insert, fact=fact.select(last)).first()[0]
+
+    assert "Sort" not in plan()
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    chosen = spark.conf.get(setting)
+    spark.conf.set(setting, "0")
+    try:
+        assert "Sort" in plan()
+    finally:
+        spark.conf.set(setting, chosen)
