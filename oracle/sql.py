@@ -324,6 +324,15 @@ _CONFLICTS = """
     GROUP BY taxi_type, ride_key HAVING count(DISTINCT fare) > 1
 """
 
+_REPEATS = """
+    SELECT taxi_type, count(*) AS n_rides, count(*) FILTER (WHERE n > 1) AS n_repeated,
+           count(*) FILTER (WHERE n_fares > 1) AS n_conflicting
+    FROM (SELECT taxi_type, ride_key, count(*) AS n,
+                 count(DISTINCT coalesce(base_passenger_fare, fare_amount)) AS n_fares
+          FROM valid_all GROUP BY taxi_type, ride_key)
+    GROUP BY taxi_type
+"""
+
 _OVERLAP = """
     SELECT taxi_type, count(*) FILTER (WHERE tip_amount < 0) AS n_negative_tip,
            count(*) FILTER (WHERE total_amount < fare_amount) AS n_total_below_fare,
@@ -407,6 +416,7 @@ def all_sql() -> dict[str, str]:
         "provider_share": _SHARE,
         "varying_fields": _varying_fields(),
         "fare_conflicts": _CONFLICTS,
+        "ride_repeats": _REPEATS,
         "removed_by_rule": _removed_by_rule(),
         "flag_overlap": _OVERLAP,
         "mom_change": _CHANGE,

@@ -100,6 +100,7 @@ def test_audit_of_equal_hashes_and_equal_rides(spark):
     assert {r.column_name: r.n_varying for r in rows if r.n_varying} == {"tip_amount": 1, "passenger_count": 1}
     assert {r.n_groups for r in rows} == {1}
     fares = [trip("hvfhv", base_passenger_fare=f) for f in (10.0, 12.5, None)] + [trip("hvfhv", provider_id="x")] * 2
+    assert values(audit.ride_repeats(silver(spark, "hvfhv", *fares))) == [("hvfhv", 2, 2, 1)]
     (conflict,) = audit.fare_conflicts(silver(spark, "hvfhv", *fares)).collect()
     assert (conflict.n_rows, conflict.lowest_fare, conflict.highest_fare) == (3, 10.0, 12.5)
 

@@ -18,7 +18,7 @@ def test_month_files_follow_the_naming_pattern():
     assert files[0] == MonthFile("/in/hvfhv/fhvhv_tripdata_2023-01.parquet", "fhvhv_tripdata_2023-01.parquet", 2023, 1)
 
 
-def test_common_schema_widens_and_ignores_case():
+def test_common_schema_widens_and_ignores_case(spark):
     a = T.StructType.fromDDL("VendorID int, fare double, when timestamp, fee void, kind int, only_a string, gone void")
     b = T.StructType.fromDDL("vendorid bigint, FARE int, when timestamp_ntz, fee double, kind string")
     merged = common_schema([a, b])
@@ -88,6 +88,17 @@ def test_yellow_casts_dirty_numbers(spark):
     assert first.source_file == "unknown" and first.ingested_at is not None
 
 
+def test_columns_that_drifted_to_text_are_read_back(spark):
+    ddl = (
+        "VendorID string, lpep_pickup_datetime string, lpep_dropoff_datetime timestamp_ntz, passenger_count string,"
+        " trip_distance string, PULocationID double, DOLocationID bigint, fare_amount int, tip_amount string,"
+        " total_amount float, ehail_fee string"
+    )
+    (row,) = canonical(spark, "green", ddl, ("2", "2023-01-05 08:00:00", END, "x", "1.5", 3.0, 4, 5, "none", 2.5, "0"))
+    assert (row.provider_id, row.pickup_datetime, row.passenger_count, row.trip_distance) == ("2", START, None, 1.5)
+    assert (row.pickup_location_id, row.fare_amount, row.tip_amount, row.total_amount) == (3, 5.0, None, 2.5)
+
+
 def test_hvfhv_flags_and_absent_columns(spark):
     ddl = (
         "hvfhs_license_num string, dispatching_base_num string, pickup_datetime timestamp_ntz,"

@@ -99,13 +99,28 @@ def varying_fields(trips: DataFrame, fields: Sequence[str] = tuple(OUTSIDE_HASH)
     return summary.unpivot(["taxi_type", "n_groups"], list(fields), "column_name", "n_varying")
 
 
+def _rides(trips: DataFrame) -> DataFrame:
+    fare = F.coalesce(F.col("base_passenger_fare"), F.col("fare_amount"))
+    return trips.groupBy("taxi_type", "ride_key").agg(
+        n_rows("n_rows"), F.min(fare).alias("lowest_fare"), F.max(fare).alias("highest_fare")
+    )
+
+
 def fare_conflicts(trips: DataFrame) -> DataFrame:
     """Rides recorded with more than one base fare."""
-    fare = F.coalesce(F.col("base_passenger_fare"), F.col("fare_amount"))
+    return _rides(trips).where("lowest_fare <> highest_fare")
+
+
+def ride_repeats(trips: DataFrame) -> DataFrame:
+    """Per category: rides, those recorded more than once, and those with conflicting fares."""
     return (
-        trips.groupBy("taxi_type", "ride_key")
-        .agg(n_rows("n_rows"), F.min(fare).alias("lowest_fare"), F.max(fare).alias("highest_fare"))
-        .where(F.col("lowest_fare") != F.col("highest_fare"))
+        _rides(trips)
+        .groupBy("taxi_type")
+        .agg(
+            n_rows("n_rides"),
+            F.count_if(F.col("n_rows") > 1).alias("n_repeated"),
+            F.count_if(F.col("lowest_fare") != F.col("highest_fare")).alias("n_conflicting"),
+        )
     )
 
 

@@ -112,6 +112,7 @@ def all_queries() -> dict[str, Query]:
         "provider_share": _query(lambda at: audit.provider_share(at.together(at.silver))),
         "varying_fields": _query(lambda at: audit.varying_fields(at.together(at.valid))),
         "fare_conflicts": _query(lambda at: audit.fare_conflicts(at.together(at.valid))),
+        "ride_repeats": _query(lambda at: audit.ride_repeats(at.together(at.valid))),
         "removed_by_rule": _query(lambda at: audit.removed_by_rule(at.each(at.canonical), SETTINGS)),
         "flag_overlap": _query(lambda at: audit.flag_overlap(at.together(at.silver))),
         "mom_change": _query(lambda at: audit.month_over_month(kpi.yellow_totals(at.fact()))),

@@ -18,7 +18,7 @@ SQL_SETTINGS = {
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings to a running session, leaving alone what its owner set."""
-    chosen = set(dict(spark.sparkContext.getConf().getAll()))
+    chosen = spark.conf.getAll
     for key, value in SQL_SETTINGS.items():
         if key not in chosen:
             spark.conf.set(key, value)

@@ -67,14 +67,12 @@ _MAPPINGS = {
 }
 
 
-def _typed(value: str, kind: str) -> str:
-    """Sources store whole numbers as doubles, NaN included, which a strict cast refuses."""
-    cast = "try_cast" if kind == "int" else "cast"
-    return f"{cast}({value} AS {kind})"
-
-
 def to_canonical(raw: DataFrame, taxi_type: str) -> DataFrame:
-    """Raw rows of a category as the canonical columns; what a source lacks is a typed NULL."""
+    """Raw rows of a category as the canonical columns; what a source lacks is a typed NULL.
+
+    A value its type cannot hold, such as a NaN count or malformed text in a
+    column that drifted to text, becomes NULL and is left to the rules.
+    """
     values = {
         **_MAPPINGS[taxi_type](raw),
         "taxi_type": f"'{taxi_type}'",
@@ -82,5 +80,5 @@ def to_canonical(raw: DataFrame, taxi_type: str) -> DataFrame:
         "source_file": f"coalesce({optional_col(raw, 'source_file')}, '{UNKNOWN_FILE}')",
     }
     return raw.selectExpr(
-        *[f"{_typed(values.get(f.name, 'NULL'), f.dataType.simpleString())} AS {f.name}" for f in CANONICAL]
+        *[f"try_cast({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in CANONICAL]
     )
