@@ -1,4 +1,5 @@
 from datetime import datetime
+from itertools import combinations, permutations
 
 import pytest
 from pyspark.sql import types as T
@@ -34,6 +35,13 @@ def test_common_schema_widens_and_ignores_case(spark):
     assert common_schema([b, a])["VENDORID".lower()].dataType == T.LongType()
 
 
+def test_order_of_months_does_not_change_types(spark):
+    kinds = ("int", "bigint", "double", "string", "void", "timestamp", "timestamp_ntz", "date", "decimal(10,2)")
+    for some in combinations(kinds, 3):
+        months = [T.StructType.fromDDL(f"a {kind}") for kind in some]
+        assert len({common_schema(order)["a"].dataType for order in permutations(months)}) == 1
+
+
 def test_drifting_files_are_read_into_one_frame(spark, tmp_path):
     months = {
         1: spark.createDataFrame([(1, 2.0, "x")], "VendorID int, fee double, extra string"),

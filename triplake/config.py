@@ -64,7 +64,7 @@ class Names:
 class Settings:
     """Everything a run can vary. Defaults give the published January-May 2023 run."""
 
-    landing: str = "/Volumes/workspace/case_landing/raw_files"
+    landing: str = "raw_files"
     year_months: tuple[tuple[int, int], ...] = tuple((2023, m) for m in range(1, 6))
     period_start: datetime = PERIOD_START
     period_end: datetime = PERIOD_END

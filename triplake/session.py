@@ -16,10 +16,20 @@ SQL_SETTINGS = {
 }
 
 
+# A shuffle starts with this many partitions per core, adaptive execution then merges
+# the small ones. Spark's fixed 200 would make them far too large on a large cluster.
+PARTITIONS_PER_CORE = 3
+_PARTITION_SETTINGS = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings to a running session, leaving alone what its owner set."""
     chosen = spark.conf.getAll
-    for key, value in SQL_SETTINGS.items():
+    settings = dict(SQL_SETTINGS)
+    if not any(key in chosen for key in _PARTITION_SETTINGS):
+        cores = spark.sparkContext.defaultParallelism
+        settings[_PARTITION_SETTINGS[1]] = str(max(200, PARTITIONS_PER_CORE * cores))
+    for key, value in settings.items():
         if key not in chosen:
             spark.conf.set(key, value)
     return spark
