@@ -35,7 +35,8 @@ CANONICAL = {
                CAST(o_orderkey % 250 AS DOUBLE) AS trip_distance,
                o_totalprice - 5000 AS fare_amount,
                CAST(o_orderkey % 21 - 1 AS DOUBLE) AS tip_amount,
-               CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice - 6000 ELSE o_totalprice - 4000 END AS total_amount,
+               CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice - 6000
+                    ELSE o_totalprice - 4000 END AS total_amount,
                CAST(NULL AS BOOLEAN) AS is_shared_ride, CAST(NULL AS DOUBLE) AS base_passenger_fare,
                CAST(NULL AS DOUBLE) AS tolls, CAST(NULL AS DOUBLE) AS bcf, CAST(NULL AS DOUBLE) AS sales_tax,
                CAST(NULL AS DOUBLE) AS congestion_surcharge, CAST(NULL AS DOUBLE) AS airport_fee,

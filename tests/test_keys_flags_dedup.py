@@ -86,15 +86,16 @@ def test_dedup_keeps_the_same_row_whatever_the_partitions(spark):
         rows = sorted(map(str, one_per_content(copies(spark).repartition(parts)).collect()))
         expected = expected or rows
         assert rows == expected
-    kept = one_per_content(copies(spark)).where("provider_id = '1' AND pickup_location_id = 10 AND dropoff_location_id = 20")
-    row = kept.first()
+    copied = "provider_id = '1' AND pickup_location_id = 10 AND dropoff_location_id = 20"
+    row = one_per_content(copies(spark)).where(copied).first()
     assert (row.source_file, row.ingested_at, row.is_shared_ride) == ("a.parquet", datetime(2023, 12, 31), False)
     # A missing provider and one called "null" have the same fingerprint.
     assert one_per_content(copies(spark)).where("source_file IN ('y.parquet', 'z.parquet')").count() == 1
 
 
 def test_identity_falls_together_with_the_hash(spark):
-    zeros = [trip("yellow", trip_distance=d, fare_amount=f) for d in (0.0, -0.0, None) for f in (0.0, float("nan"), None)]
+    distances, fares = (0.0, -0.0, None), (0.0, float("nan"), None)
+    zeros = [trip("yellow", trip_distance=d, fare_amount=f) for d in distances for f in fares]
     df = instrumented(trips(spark, *zeros, *zeros), "yellow")
     by_fields = df.groupBy(*map(F.expr, content_identity())).agg(F.count_distinct("record_hash").alias("n"))
     assert [r.n for r in by_fields.select("n").collect()] == [1] * 9

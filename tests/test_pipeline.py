@@ -13,11 +13,12 @@ from triplake.schema import FACT, SILVER, differences
 
 METERED = (
     "VendorID {id}, {p}_pickup_datetime timestamp_ntz, {p}_dropoff_datetime timestamp_ntz, passenger_count double,"
-    " trip_distance double, PULocationID int, DOLocationID int, fare_amount double, tip_amount double, total_amount double"
+    " trip_distance double, PULocationID int, DOLocationID int, fare_amount double, tip_amount double,"
+    " total_amount double"
 )
 HVFHV = (
-    "hvfhs_license_num string, dispatching_base_num string, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz,"
-    " PULocationID int, DOLocationID int, trip_miles double, base_passenger_fare double, tips double, tolls double,"
+    "hvfhs_license_num string, dispatching_base_num string, pickup_datetime timestamp_ntz,"
+    " dropoff_datetime timestamp_ntz, PULocationID int, DOLocationID int, trip_miles double, base_passenger_fare double, tips double, tolls double,"
     " bcf double, sales_tax double, shared_match_flag string"
 )
 FHV = (
@@ -33,8 +34,14 @@ def clock(month, hour=8):
 
 def land(spark, folder):
     files = {
-        ("yellow", 4): (METERED.format(id="int", p="tpep"), [(1, *clock(4), 1.0, 2.0, 1, 2, 10.0, 1.0, 12.0), (1, *clock(4), 1.0, 2.0, 1, 2, -3.0, 1.0, 12.0)]),
-        ("yellow", 5): (METERED.format(id="bigint", p="tpep"), [(2, *clock(5), 3.0, 2.0, 1, 2, 10.0, 1.0, 14.0), (2, *clock(1), 0.0, 2.0, 1, 2, 10.0, 1.0, 16.0)]),
+        ("yellow", 4): (
+            METERED.format(id="int", p="tpep"),
+            [(1, *clock(4), 1.0, 2.0, 1, 2, fare, 1.0, 12.0) for fare in (10.0, -3.0)],
+        ),
+        ("yellow", 5): (
+            METERED.format(id="bigint", p="tpep"),
+            [(2, *clock(5), 3.0, 2.0, 1, 2, 10.0, 1.0, 14.0), (2, *clock(1), 0.0, 2.0, 1, 2, 10.0, 1.0, 16.0)],
+        ),
         ("green", 4): (METERED.format(id="int", p="lpep"), [(1, *clock(4), 1.0, 2.0, 1, 2, 10.0, 1.0, 12.0)]),
         ("green", 5): (METERED.format(id="int", p="lpep"), [(1, *clock(5), 2.0, 2.0, 1, 2, 10.0, 1.0, 12.0)]),
         ("hvfhv", 4): (HVFHV, [("HV1", "B1", *clock(4), 1, 2, 3.0, 10.0, 1.0, 0.5, 0.25, None, "Y")]),
@@ -89,8 +96,10 @@ def test_stored_tables_have_the_agreed_schemas(done):
 
 def test_kpi_tables_and_their_stored_names(done):
     pipeline, _ = done
-    assert pipeline.gold(NAMES.kpi_monthly).columns == ["pickup_year", "pickup_month", "avg_total_amount", "n_corridas", "total_receita"]
-    assert [tuple(r) for r in pipeline.monthly().collect()] == [(2023, 1, 16.0, 1, 16.0), (2023, 4, 12.0, 1, 12.0), (2023, 5, 14.0, 1, 14.0)]
+    stored = pipeline.gold(NAMES.kpi_monthly).columns
+    assert stored == ["pickup_year", "pickup_month", "avg_total_amount", "n_corridas", "total_receita"]
+    rows = [tuple(r) for r in pipeline.monthly().collect()]
+    assert rows == [(2023, 1, 16.0, 1, 16.0), (2023, 4, 12.0, 1, 12.0), (2023, 5, 14.0, 1, 14.0)]
     assert [tuple(r) for r in pipeline.hourly().collect()] == [(8, 2.5, 2)]
     assert pipeline.hourly().columns == ["pickup_hour", "avg_passenger_count", "n_trips"]
     assert kpi.monthly_preview(pipeline.monthly()).columns[0] == "pickup_month"
@@ -100,14 +109,14 @@ def test_views_serve_sql_users(done):
     pipeline, _ = done
     spark = pipeline.spark
     names = [r.col_name for r in catalog.describe(spark, "t_gold.vw_taxi_consumo").collect()]
-    assert names == ["taxi_type", "VendorID", "passenger_count", "total_amount", "tpep_pickup_datetime", "tpep_dropoff_datetime"]
+    assert names == list(kpi.VIEW_COLUMNS.values())
     asked = spark.sql(
         "SELECT hour(tpep_pickup_datetime) AS h, avg(passenger_count) AS a FROM t_gold.vw_taxi_consumo"
         " WHERE month(tpep_pickup_datetime) = 5 AND passenger_count > 0 GROUP BY ALL"
     )
     assert [tuple(r) for r in asked.collect()] == [(8, 2.5)]
-    totals = dict(spark.sql("SELECT VendorID, total_amount FROM t_gold.vw_taxi_consumo WHERE taxi_type = 'hvfhv'").collect())
-    assert totals == {"HV1": 11.75, "HV2": 22.75}
+    totals = spark.sql("SELECT VendorID, total_amount FROM t_gold.vw_taxi_consumo WHERE taxi_type = 'hvfhv'")
+    assert dict(totals.collect()) == {"HV1": 11.75, "HV2": 22.75}
 
 
 def test_month_filters_read_one_partition(done):
@@ -125,8 +134,9 @@ def test_month_filters_read_one_partition(done):
 
 def test_reports(done):
     pipeline, _ = done
-    counts = {r.taxi_type: (r.bronze_rows, r.silver_rows, r.removed_rows, r.removed_pct) for r in pipeline.reconciliation().collect()}
-    assert counts == {"yellow": (4, 3, 1, 25.0), "green": (2, 2, 0, 0.0), "hvfhv": (2, 2, 0, 0.0), "fhv": (3, 2, 1, 33.3)}
+    columns = ("taxi_type", "bronze_rows", "silver_rows", "removed_rows", "removed_pct")
+    counts = {tuple(r) for r in pipeline.reconciliation().select(*columns).collect()}
+    assert counts == {("yellow", 4, 3, 1, 25.0), ("green", 2, 2, 0, 0.0), ("hvfhv", 2, 2, 0, 0.0), ("fhv", 3, 2, 1, 33.3)}
     assert pipeline.violations().where("n_violations > 0").count() == 0
     status = catalog.layer_status(pipeline.spark, ["t_gold.fact_trips", "t_gold.nothing"])
     assert [tuple(r) for r in status.collect()] == [("t_gold.fact_trips", True, 9), ("t_gold.nothing", False, None)]
@@ -142,11 +152,19 @@ def test_a_second_run_changes_nothing(done):
 def test_a_single_month_can_be_run_and_replaces_the_schema(done):
     pipeline, _ = done
     spark = pipeline.spark
-    other = Pipeline(spark, replace(pipeline.settings, year_months=((2023, 4),), names=Names("o_bronze", "o_silver", "o_gold")))
+    apart = Names("o_bronze", "o_silver", "o_gold")
+    other = Pipeline(spark, replace(pipeline.settings, year_months=((2023, 4),), names=apart))
     assert other.ingest("yellow") == 2
     assert other.bronze("yellow").schema["VendorID"].dataType.simpleString() == "int"
 
 
+def test_an_empty_result_is_counted_and_stored(done):
+    pipeline, _ = done
+    nothing = pipeline.fact().where("false")
+    assert catalog.write_table(nothing, "t_gold.nothing_left", pipeline.settings, ["pickup_month"]) == 0
+    assert pipeline.gold("nothing_left").count() == 0
+
+
 def test_retired_artefacts_are_dropped_by_kind(done):
     pipeline, _ = done
     spark, settings = pipeline.spark, pipeline.settings

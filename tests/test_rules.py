@@ -58,7 +58,8 @@ def test_rules_keep_and_attribute(spark, taxi_type):
     cases = [(fields, rule) for kind, fields, rule in CASES if kind == taxi_type]
     df = trips(spark, *[trip(taxi_type, **fields, source_file=str(i)) for i, (fields, _) in enumerate(cases)])
     rules = rules_for(taxi_type, SETTINGS)
-    failed = {int(r.source_file): r.rule for r in df.selectExpr("source_file", f"{first_failed(rules)} AS rule").collect()}
+    attributed = df.selectExpr("int(source_file) AS i", f"{first_failed(rules)} AS rule")
+    failed = {r.i: r.rule for r in attributed.collect()}
     assert failed == {i: rule for i, (_, rule) in enumerate(cases)}
     kept = {int(r.source_file) for r in keep_valid(df, rules).collect()}
     assert kept == {i for i, (_, rule) in enumerate(cases) if rule is None}
@@ -90,6 +91,7 @@ def test_duration_is_zone_free_and_in_whole_seconds(spark, zone, name):
     def whole(ts):
         return (ts - datetime(1970, 1, 1)) // timedelta(seconds=1)
 
-    for r in df.selectExpr("*", f"{seconds_between('p', 'd')} AS s", f"{lasts_at_most('p', 'd', 7200)} AS ok").collect():
+    measured = df.selectExpr("*", f"{seconds_between('p', 'd')} AS s", f"{lasts_at_most('p', 'd', 7200)} AS ok")
+    for r in measured.collect():
         assert r.s == whole(r.d) - whole(r.p)
         assert r.ok == (r.s <= 7200)

@@ -23,11 +23,11 @@ def optional_col(df: DataFrame, *names: str) -> str:
 def token_flag(value: str, true_tokens: Sequence[str], false_tokens: Sequence[str]) -> str:
     """Boolean from text tokens (case matters); any other text is NULL."""
 
-    def any_of(tokens: Sequence[str]) -> str:
-        return ", ".join(f"'{token}'" for token in tokens)
+    def is_one_of(tokens: Sequence[str]) -> str:
+        listed = ", ".join(f"'{token}'" for token in tokens)
+        return f"cast({value} AS string) IN ({listed})"
 
-    text = f"cast({value} AS string)"
-    return f"CASE WHEN {text} IN ({any_of(true_tokens)}) THEN true WHEN {text} IN ({any_of(false_tokens)}) THEN false END"
+    return f"CASE WHEN {is_one_of(true_tokens)} THEN true WHEN {is_one_of(false_tokens)} THEN false END"
 
 
 def epoch_second(ts: str) -> str:

@@ -34,7 +34,8 @@ def duration_p99(trips: DataFrame) -> DataFrame:
     most 86,401 weighted rows per category for the percentile itself.
     """
     seconds = seconds_between("pickup_datetime", "dropoff_datetime")
-    counted = trips.selectExpr("taxi_type", f"{seconds} AS seconds").groupBy("taxi_type", "seconds").agg(n_rows("weight"))
+    durations = trips.selectExpr("taxi_type", f"{seconds} AS seconds")
+    counted = durations.groupBy("taxi_type", "seconds").agg(n_rows("weight"))
     return counted.groupBy("taxi_type").agg(
         F.percentile("seconds", F.lit(0.99), F.col("weight")).alias("p99_seconds"),
         F.max("seconds").alias("max_seconds"),
@@ -95,7 +96,8 @@ def varying_fields(trips: DataFrame, fields: Sequence[str] = tuple(OUTSIDE_HASH)
         some_null = F.col(f"n_{name}").between(1, F.col("n_rows") - 1)
         return some_null | F.coalesce(F.col(f"lo_{name}") != F.col(f"hi_{name}"), F.lit(False))
 
-    summary = groups.groupBy("taxi_type").agg(n_rows("n_groups"), *[F.count_if(differs(name)).alias(name) for name in fields])
+    varying = [F.count_if(differs(name)).alias(name) for name in fields]
+    summary = groups.groupBy("taxi_type").agg(n_rows("n_groups"), *varying)
     return summary.unpivot(["taxi_type", "n_groups"], list(fields), "column_name", "n_varying")
 
 
@@ -132,8 +134,8 @@ def removed_by_rule(canonical: Mapping[str, DataFrame], settings: Settings) -> D
         failed = df.selectExpr("taxi_type", f"{first_failed(rules)} AS rule")
         reports.append(failed.where(F.col("rule").isNotNull()).groupBy("taxi_type", "rule").agg(n_rows("n_removed")))
         if taxi_type == "fhv":
-            copies = keep_valid(df, rules).groupBy(*map(F.expr, content_identity())).agg(n_rows("n_copies")).where(F.col("n_copies") > 1)
-            extra = copies.agg(F.coalesce(F.sum(F.col("n_copies") - 1), F.lit(0)).alias("n_removed"))
+            contents = keep_valid(df, rules).groupBy(*map(F.expr, content_identity())).agg(n_rows("n_copies"))
+            extra = contents.agg(F.coalesce(F.sum(F.col("n_copies") - 1), F.lit(0)).alias("n_removed"))
             reports.append(
                 extra.select(F.lit(taxi_type).alias("taxi_type"), F.lit(DUPLICATE_RULE).alias("rule"), "n_removed")
             )

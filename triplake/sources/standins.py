@@ -10,7 +10,6 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from triplake.config import Settings
 from triplake.sources.files import MonthFile
