@@ -82,7 +82,8 @@ def varying_fields(trips: DataFrame, fields: Sequence[str] = tuple(OUTSIDE_HASH)
     field, which would copy every row once per field.
     """
     groups = (
-        trips.groupBy("taxi_type", "record_hash")
+        # The hash first: sorting by it compares eight bytes, by category everything ties.
+        trips.groupBy("record_hash", "taxi_type")
         .agg(
             n_rows("n_rows"),
             *[F.min(name).alias(f"lo_{name}") for name in fields],

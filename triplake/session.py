@@ -7,7 +7,6 @@ from pyspark.sql import SparkSession
 SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
     # A task of a partitioned write meets at most twelve months. It keeps their files
     # open side by side instead of sorting all its rows by month first.
     "spark.sql.maxConcurrentOutputFileWriters": "12",
