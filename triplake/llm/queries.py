@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from triplake.llm import language, toxicity
 from triplake.llm.line_dedup import dedup_lines
+from triplake.llm.packing import pack_documents
 from triplake.llm.shared import table
+from triplake.llm.words import fold
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +20,37 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"), "text")
 
 
+def ranks_path() -> str:
+    """The public vocabulary's file; a parameter of the operator."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of at most 2048 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"), ranks_path())
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document, learned outside fold 0 of 5."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model, "score")
+    held_out = (fold(F.col("doc_id"), 5) == 0).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned outside fold 2 of 4."""
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs.select("doc_id", "text"), language.train(docs))
+    held_out = (fold(F.col("doc_id"), 4) == 2).alias("held_out")
+    return found.select("doc_id", held_out, F.col("_language.lang").alias("lang_pred"), F.col("_language.score").alias("score"), F.col("_language.accepted").alias("accepted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_line_dedup]
+    found = [op1_line_dedup, op7_best_fit_packing, op9_toxicity, op10_language_id]
     return {f.__name__: f for f in found}
 
 
