@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from triplake.llm import language, toxicity
 from triplake.llm.line_dedup import dedup_lines
+from triplake.llm.ngram_join import similar_sets
 from triplake.llm.packing import pack_documents
 from triplake.llm.shared import table
 from triplake.llm.words import fold
@@ -32,6 +33,11 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), ranks_path())
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's set size and the smallest document that links of 0.9 shingle overlap reach."""
+    return similar_sets(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every document, learned outside fold 0 of 5."""
     docs = table(spark, sf_dir, "documents")
@@ -50,7 +56,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_line_dedup, op7_best_fit_packing, op9_toxicity, op10_language_id]
+    found = [op1_line_dedup, op7_best_fit_packing, op8_ngram_jaccard_join, op9_toxicity, op10_language_id]
     return {f.__name__: f for f in found}
 
 
