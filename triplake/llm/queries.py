@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from triplake.llm import language, toxicity
 from triplake.llm.decontaminate import leaks
+from triplake.llm.fingerprint import fingerprint_changes
 from triplake.llm.line_dedup import dedup_lines
 from triplake.llm.ngram_join import similar_sets
 from triplake.llm.packing import pack_documents
@@ -29,6 +30,11 @@ def ranks_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint beside that of its edited text and of the next document."""
+    return fingerprint_changes(table(spark, sf_dir, "documents"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item that a document holds, with the least edit distance."""
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -62,7 +68,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_line_dedup, op5_benchmark_decontamination, op7_best_fit_packing, op8_ngram_jaccard_join, op9_toxicity, op10_language_id]
+    found = [op1_line_dedup, op2_document_fingerprints, op5_benchmark_decontamination, op7_best_fit_packing, op8_ngram_jaccard_join, op9_toxicity, op10_language_id]
     return {f.__name__: f for f in found}
 
 
