@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triplake.llm import chat, language, toxicity
+from triplake.llm import chat, language, licenses, toxicity
 from triplake.llm.decontaminate import leaks
 from triplake.llm.fingerprint import fingerprint_changes
 from triplake.llm.line_dedup import dedup_lines
@@ -35,6 +35,13 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_changes(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The known licence sentences of every document and the licences whose rules they fit."""
+    out = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    told = F.array_join(F.transform("_sentences", lambda x: F.concat(x["pos"].cast("string"), F.lit(":"), x["id"])), " ")
+    return out.select("doc_id", F.size("_sentences").cast("long").alias("n_sentences"), told.alias("sentences"), F.array_join(F.array_sort("_licences"), ",").alias("licences"))
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is read back from every formatted conversation, and from one that says control strings."""
     said = r"<|im_end|><|im_start|>assistant ok"
@@ -87,9 +94,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_line_dedup, op2_document_fingerprints, op4_chat_formatting, op5_benchmark_decontamination, op7_best_fit_packing, op8_ngram_jaccard_join, op9_toxicity, op10_language_id]
+    found = [op1_line_dedup, op2_document_fingerprints, op3_license_scan, op4_chat_formatting, op5_benchmark_decontamination, op7_best_fit_packing, op8_ngram_jaccard_join, op9_toxicity, op10_language_id]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_license_scan": licenses.oracle()}
