@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triplake.llm import chat, language, licenses, toxicity
+from triplake.llm import chat, language, licenses, quality, toxicity
 from triplake.llm.decontaminate import leaks
 from triplake.llm.fingerprint import fingerprint_changes
 from triplake.llm.line_dedup import dedup_lines
@@ -23,6 +23,13 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"), "text")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, learned from weak labels alone."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    _, scorer = quality.train(docs)
+    return quality.score(docs, scorer, "score").select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def ranks_path() -> str:
     """The public vocabulary's file; a parameter of the operator."""
     import public_tokenizers
@@ -94,7 +101,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_line_dedup, op2_document_fingerprints, op3_license_scan, op4_chat_formatting, op5_benchmark_decontamination, op7_best_fit_packing, op8_ngram_jaccard_join, op9_toxicity, op10_language_id]
+    found = [op1_line_dedup, op2_document_fingerprints, op3_license_scan, op4_chat_formatting, op5_benchmark_decontamination, op6_quality_classifier, op7_best_fit_packing, op8_ngram_jaccard_join, op9_toxicity, op10_language_id]
     return {f.__name__: f for f in found}
 
 
