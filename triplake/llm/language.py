@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from triplake.llm.words import Rows, bounded_sample, bucket, fold
 
-MOST_TEXTS = 6000
+MOST_TEXTS = 1600
 BUCKETS = 1 << 16
 WIDTH = 16
 GRAMS = (1, 2, 3, 4)
@@ -33,13 +33,14 @@ UNKNOWN = "und"
 EXAMPLE = 60
 
 
-def features(word: str) -> list[int]:
+def features(word: str) -> np.ndarray:
     """Rows of a lower-case word and its n-grams."""
     own = "".join(c for c in word if c.isalpha())
     if not own:
-        return []
+        return np.zeros(0, np.int32)
     marked = f"<{own}>"
-    return [bucket(marked[i : i + n], BUCKETS) for n in GRAMS for i in range(len(marked) - n + 1)] + [bucket(f"={own}", BUCKETS)]
+    grams = [marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1)]
+    return np.array([bucket(g, BUCKETS) for g in [*grams, f"={own}"]], dtype=np.int32)
 
 
 def words(text: str) -> list[str]:
@@ -59,7 +60,7 @@ class Language:
 
         def row(word: str) -> np.ndarray:
             ids = features(word)
-            return np.append(self.scores[ids].sum(axis=0), len(ids)) if ids else np.zeros(n + 1)
+            return np.append(self.scores[ids].sum(axis=0), len(ids)) if len(ids) else np.zeros(n + 1)
 
         known = Rows(row, n + 1)
 
@@ -83,14 +84,18 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 def fit(texts: list[str], langs: list[str], epochs: int = 3, rate: float = 4.0, error: float = 0.01, seed: int = 0) -> Language:
     names = sorted(set(langs))
     rng = np.random.default_rng(seed)
-    known: dict[str, list[int]] = {}
+    known: dict[str, np.ndarray] = {}
     parts, marks, held = [], [], []
     for k, (text, lang) in enumerate(zip(texts, langs, strict=True)):
         found = words(text)
         for at in range(0, len(found), EXAMPLE):
-            ids = [i for w in found[at : at + EXAMPLE] for i in (known.get(w) or known.setdefault(w, features(w)))]
-            if ids:
-                parts.append(np.array(ids, dtype=np.int32))
+            here = found[at : at + EXAMPLE]
+            for w in here:
+                if w not in known:
+                    known[w] = features(w)
+            ids = np.concatenate([known[w] for w in here])
+            if len(ids):
+                parts.append(ids)
                 marks.append(names.index(lang))
                 held.append(k % 10 == 0)
     y, held = np.array(marks, dtype=np.int64), np.array(held, dtype=bool)
