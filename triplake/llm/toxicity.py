@@ -1,13 +1,14 @@
 """Toxicity by non-negative positive-unlabelled learning: confirmed toxic texts and unlabelled texts, no negatives.
 
 Texts are sets of hashed features: words and beginnings of words, in lower case. A feature is kept if the number of
-toxic training texts that have it departs from what unlabelled texts suggest. A linear classifier over the kept features
+toxic training texts that have it clearly exceeds what unlabelled texts suggest. A linear classifier over the kept features
 is trained in numpy to minimise the non-negative risk
 
     prior * R_positive(+1) + max(0, R_unlabelled(-1) - prior * R_positive(-1))
 
 with the logistic loss, where prior is the share of toxic texts among all. When the second term of a batch turns
-negative, the step goes the other way, as that method prescribes.
+negative, the step goes the other way, as that method prescribes. Last, the bias is raised until the share of
+unlabelled texts that count as toxic is the prior.
 
 Training takes at most MOST_POSITIVE and MOST_UNLABELLED texts, chosen by a hash of the id (documented bound); scores
 cover every whole text. Defined results: null and empty texts have no features and get the score of the bias; repeated
@@ -32,11 +33,15 @@ MOST_POSITIVE = 4000
 MOST_UNLABELLED = 8000
 BUCKETS = 1 << 20
 
-#: Standard errors by which a feature's share among toxic texts must depart from that among unlabelled ones.
-MIN_Z = 4.0
+#: Standard errors by which a feature's share among toxic texts must exceed that among unlabelled ones: the first for
+#: few toxic texts, the second for many.
+MIN_Z = (3.0, 8.0)
 
 STARTS = (4, 5, 6)
 
+#: By how much a text without any feature stays below a score of 0.5, in log odds.
+MARGIN = 1.0
+
 EDGES = ".,;:!?\"'()[]{}<>*#&$%|-_"
 
 
@@ -86,7 +91,7 @@ class Toxicity:
         return score
 
 
-def fit_nnpu(rows: list[np.ndarray], positive: np.ndarray, width: int, prior: float, epochs: int = 60, rate: float = 0.05, l2: float = 1e-4, seed: int = 0) -> tuple[np.ndarray, float]:
+def fit_nnpu(rows: list[np.ndarray], positive: np.ndarray, width: int, prior: float, epochs: int = 200, rate: float = 0.05, l2: float = 1e-4, seed: int = 0) -> tuple[np.ndarray, float]:
     """Weights and bias. rows: places of the features each text has; positive: which texts are confirmed toxic."""
     rng = np.random.default_rng(seed)
     p, u = np.flatnonzero(positive), np.flatnonzero(~positive)
@@ -124,7 +129,18 @@ def fit_nnpu(rows: list[np.ndarray], positive: np.ndarray, width: int, prior: fl
             first = 0.9 * first + 0.1 * g
             second = 0.999 * second + 0.001 * g * g
             w -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return w[:width], float(w[width])
+    return w[:width], matched(w, rows, u, prior)
+
+
+def matched(w: np.ndarray, rows: list[np.ndarray], unlabelled: np.ndarray, prior: float) -> float:
+    """The bias moved so that the share of unlabelled texts scored 0.5 or more is the prior.
+
+    It is only raised, and a text without features stays well below.
+    """
+    bias = float(w[-1])
+    z = np.array([w[rows[i]].sum() for i in unlabelled])
+    border = float(np.quantile(z, 1 - prior)) if len(z) else 0.0
+    return max(bias, -max(border, MARGIN))
 
 
 def _collected(pdfs):
@@ -154,7 +170,8 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0,
     share_p, share_u = (F.col("p") + 0.5) / (np_ + 1), (F.col("u") + 0.5) / (nu + 1)
     spread = F.sqrt(share_p * (1 - share_p) / np_ + share_u * (1 - share_u) / nu)
     # At most BUCKETS features exist, however many texts there are.
-    chosen = counts.where((F.col("p") >= 5) & (F.abs(share_p - share_u) >= MIN_Z * spread)).select("f")
+    least = float(np.clip(0.2 * np.sqrt(np_), *MIN_Z))
+    chosen = counts.where((F.col("p") >= 5) & (share_p - share_u >= least * spread)).select("f")
     ids = np.sort(np.array([r.f for r in chosen.collect()], dtype=np.int64))
 
     def kept_only(pdfs):
