@@ -2,11 +2,13 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from oracle.compare import connect, mismatch
+from oracle.sql import all_sql
 from tests.conftest import SF_DIR
+from triplake.plans.registry import all_queries
 
-QUERIES, ORACLES = queries(), oracle_sql()
+QUERIES, ORACLES = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="module")

@@ -183,3 +183,86 @@ def test_retired_artefacts_are_dropped_by_kind(done):
     assert not {"fact_trip", "vw_fact_trip"} & listed() and "market_share_may" in listed()
     catalog.drop_retired(spark, settings, include_optional=True, dry_run=False)
     assert "market_share_may" not in listed() and "fact_trips" in listed()
+
+
+def reloadable(spark, folder, months=(1, 2, 3, 4, 5), bump=0.0, widen=False):
+    """Five months of each category; bump changes the yellow fares."""
+    prefix = {"yellow": "yellow", "green": "green", "hvfhv": "fhvhv", "fhv": "fhv"}
+    for m in months:
+        rows = {
+            "yellow": (METERED.format(id="bigint" if widen else "int", p="tpep"), [(1, *clock(m), 1.0, 2.0, 1, 2, 10.0 + bump, 1.0, 12.0 + bump), (1, *clock(m % 5 + 1, 9), 1.0, 2.0, 1, 2, 10.0, 1.0, 13.0)]),
+            "green": (METERED.format(id="int", p="lpep"), [(1, *clock(m), 1.0, 2.0, 1, 2, 10.0, 1.0, 12.0)]),
+            "hvfhv": (HVFHV, [("HV1", "B1", *clock(m), 1, 2, 3.0, 10.0, 1.0, 0.5, 0.25, None, "Y")]),
+            "fhv": (FHV.format(drop="dropOff_datetime"), [("B1", *clock(m, h), None, None) for h in (8, 9, 9)]),
+        }
+        for taxi_type, (ddl, data) in rows.items():
+            path = f"{folder}/{taxi_type}/{prefix[taxi_type]}_tripdata_2023-{m:02d}.parquet"
+            spark.createDataFrame(data, ddl).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def shown(df):
+    return sorted(map(str, df.drop("ingested_at").collect()))
+
+
+@pytest.mark.parametrize("widen", [False, True])
+def test_a_month_is_loaded_without_touching_the_others(spark, tmp_path, widen):
+    names = Names(*(f"m{int(widen)}_{layer}" for layer in ("bronze", "silver", "gold")))
+    reloadable(spark, tmp_path)
+    five = Settings(landing=str(tmp_path), year_months=tuple((2023, m) for m in range(1, 6)), names=names)
+    whole = Pipeline(spark, five)
+    whole.run()
+    before = {m: shown(whole.bronze("yellow").where(f"_partition_month = {m}")) for m in range(1, 6)}
+    fact_before = {m: shown(whole.fact().where(f"pickup_month = {m}")) for m in range(1, 6)}
+    reloadable(spark, tmp_path, (3,), bump=5.0, widen=widen)
+    march = Pipeline(spark, replace(five, year_months=((2023, 3),)))
+    written = march.load()
+    assert written[names.bronze_table("yellow")] == 2
+    # The March file has trips of March and of April.
+    assert march.pickup_months("yellow") == {3, 4}
+    for m in (1, 2, 4, 5):
+        assert shown(whole.bronze("yellow").where(f"_partition_month = {m}")) == before[m]
+    for m in (1, 2, 5):
+        assert shown(whole.fact().where(f"pickup_month = {m}")) == fact_before[m]
+    changed = whole.fact().where("pickup_month = 3 AND taxi_type = 'yellow'")
+    assert sorted(r.total_amount for r in changed.collect()) == [13.0, 17.0]
+    assert whole.bronze("yellow").count() == 10 and whole.fact().count() == 30
+    after = shown(whole.fact())
+    assert march.load() == written and shown(whole.fact()) == after
+    # The same tables as from a full run over the files as they are now.
+    whole.run()
+    assert shown(whole.fact()) == after
+
+
+def test_a_month_without_rows_leaves_no_partition(spark, tmp_path):
+    names = Names("e_bronze", "e_silver", "e_gold")
+    reloadable(spark, tmp_path, (1, 2))
+    two = Settings(landing=str(tmp_path), year_months=((2023, 1), (2023, 2)), names=names)
+    Pipeline(spark, two).ingest("green")
+    path = f"{tmp_path}/green/green_tripdata_2023-02.parquet"
+    spark.createDataFrame([], METERED.format(id="int", p="lpep")).write.mode("overwrite").parquet(path)
+    later = Pipeline(spark, replace(two, year_months=((2023, 2),)))
+    assert later.ingest("green") == 0
+    assert {r._partition_month for r in later.bronze("green").collect()} == {1}
+
+
+def test_stored_fhv_months_lie_together(spark, tmp_path):
+    names = Names("l_bronze", "l_silver", "l_gold")
+    reloadable(spark, tmp_path)
+    pipeline = Pipeline(spark, Settings(landing=str(tmp_path), names=names))
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        pipeline.run()
+    finally:
+        spark.conf.set(merging, "true")
+    files = pipeline.silver("fhv").selectExpr("input_file_name() AS f", "month(pickup_datetime) AS m").distinct()
+    assert files.count() == 5 and files.select("m").distinct().count() == 5
+    # So the fact table gets a file a month, and not one for each task and month.
+    stored = pipeline.fact().where("taxi_type = 'fhv'").selectExpr("input_file_name() AS f").distinct()
+    assert stored.count() == 5
+
+
+def test_kpi_tables_are_written_without_a_sort(done):
+    pipeline, _ = done
+    plan = kpi.yellow_totals(pipeline.fact(), ordered=False)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan

@@ -2,14 +2,14 @@
 
 import pytest
 
-from __spark_entry__ import queries
 from tests.conftest import SF_DIR
 from triplake.operators.fact import fact_trips
 from triplake.plans import silver as layer
+from triplake.plans.registry import all_queries
 from triplake.sources import standins
 from triplake.sources.standins import SETTINGS
 
-QUERIES = queries()
+QUERIES = all_queries()
 
 
 def executed(df):

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import types as T
 
 from triplake.config import Settings
+from triplake.plans import silver as layer
 from triplake.schema import CANONICAL, differences, require
 from triplake.sources.canonical import to_canonical
 from triplake.sources.files import MonthFile, month_files
@@ -162,3 +163,26 @@ def test_require_names_every_difference(spark):
     wrong_type_and_extra = "pickup_datetime: expected timestamp_ntz, found timestamp; .*other: expected absent"
     with pytest.raises(TypeError, match=wrong_type_and_extra):
         require(df, CANONICAL, "frame")
+
+
+@pytest.mark.parametrize("name", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_zoned_trip_times_are_utc_wall_time_in_any_session(spark, zone, name):
+    made = spark.sql(
+        "SELECT 'B1' AS dispatching_base_num, timestamp_micros(1672884000123456L) AS pickup_datetime,"
+        " timestamp_micros(1672885000000000L) AS dropOff_datetime, 1.0D AS PUlocationID, NULL AS DOlocationID"
+    )
+    zone(name)
+    row = layer.instrumented(to_canonical(made, "fhv"), "fhv").first()
+    assert str(row.pickup_datetime) == "2023-01-05 02:00:00.123456"
+    assert row.record_hash[:8] == layer.instrumented(to_canonical(made, "fhv"), "fhv").first().record_hash[:8]
+
+
+def test_months_widen_exactly_and_lineage_is_replaced(spark):
+    a = spark.sql("SELECT 12345678901234567.89BD AS d, DATE'2023-01-01' AS t, 'old' AS Source_File, 1 AS n")
+    b = spark.sql("SELECT 1.5BD AS d, TIMESTAMP_NTZ'2023-01-01 10:00:00' AS t, 'old' AS Source_File, 2.25BD AS n")
+    files = [MonthFile("", f"{k}.parquet", 2023, k) for k in (1, 2)]
+    got = union_months(list(zip(files, (a, b))))
+    plain = a.drop("Source_File").union(b.drop("Source_File"))
+    assert [got.schema[c].dataType for c in ("d", "t", "n")] == [plain.schema[c].dataType for c in ("d", "t", "n")]
+    rows = sorted(got.collect(), key=lambda r: r.source_file)
+    assert str(rows[0].d) == "12345678901234567.89" and [r.source_file for r in rows] == ["1.parquet", "2.parquet"]

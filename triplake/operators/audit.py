@@ -78,12 +78,18 @@ def provider_share(trips: DataFrame) -> DataFrame:
 def varying_fields(trips: DataFrame, fields: Sequence[str] = tuple(OUTSIDE_HASH)) -> DataFrame:
     """For records sharing a hash: in how many such groups does each remaining field differ?
 
-    Smallest against largest value answers that without a distinct count per
-    field, which would copy every row once per field.
+    Few hashes repeat, so these are found first, from the hash alone; only their
+    rows meet the wide aggregation. Smallest against largest value answers the
+    question without a distinct count per field, which would copy every row
+    once per field.
     """
+    digest = F.unhex("record_hash")
+    repeated = trips.groupBy(digest.alias("_digest")).agg(n_rows("_copies")).where("_copies > 1").select("_digest")
     groups = (
+        trips.withColumn("_digest", digest)
+        .join(repeated, "_digest", "left_semi")
         # The hash first: sorting by it compares eight bytes, by category everything ties.
-        trips.groupBy("record_hash", "taxi_type")
+        .groupBy("_digest", "taxi_type")
         .agg(
             n_rows("n_rows"),
             *[F.min(name).alias(f"lo_{name}") for name in fields],

@@ -40,11 +40,14 @@ def _period_keys(trips: DataFrame, parts: dict) -> list[Column]:
     ]
 
 
-def _by_period(trips: DataFrame, parts: dict, measures: list[Column]) -> DataFrame:
-    return trips.groupBy(*_period_keys(trips, parts)).agg(*measures).orderBy(*parts)
+def _by_period(trips: DataFrame, parts: dict, measures: list[Column], ordered: bool) -> DataFrame:
+    totals = trips.groupBy(*_period_keys(trips, parts)).agg(*measures)
+    return totals.orderBy(*parts) if ordered else totals
 
 
-def yellow_totals(trips: DataFrame, parts: dict = YEAR | MONTH, average_only: bool = False) -> DataFrame:
+def yellow_totals(
+    trips: DataFrame, parts: dict = YEAR | MONTH, average_only: bool = False, ordered: bool = True
+) -> DataFrame:
     """Average, number and sum of yellow totals per period, over the fact table or a view of it.
 
     Grouping by MONTH alone merges the same month of different years.
@@ -52,7 +55,7 @@ def yellow_totals(trips: DataFrame, parts: dict = YEAR | MONTH, average_only: bo
     measures = [_average("total_amount", 2)]
     if not average_only:
         measures += [_n_trips(), F.round(F.sum("total_amount"), 2).alias("total_revenue")]
-    return _by_period(trips.where(F.col("taxi_type") == "yellow"), parts, measures)
+    return _by_period(trips.where(F.col("taxi_type") == "yellow"), parts, measures, ordered)
 
 
 def with_passengers(trips: DataFrame, month: int = HOURLY_KPI_MONTH) -> DataFrame:
@@ -61,10 +64,12 @@ def with_passengers(trips: DataFrame, month: int = HOURLY_KPI_MONTH) -> DataFram
     return trips.where(in_month & (F.col("passenger_count") > 0))
 
 
-def hourly_passengers(trips: DataFrame, month: int = HOURLY_KPI_MONTH, average_only: bool = False) -> DataFrame:
+def hourly_passengers(
+    trips: DataFrame, month: int = HOURLY_KPI_MONTH, average_only: bool = False, ordered: bool = True
+) -> DataFrame:
     """Average passengers and number of trips per hour of day, over the fact table or a view of it."""
     measures = [_average("passenger_count", 4)] + ([] if average_only else [_n_trips()])
-    return _by_period(with_passengers(trips, month), HOUR, measures)
+    return _by_period(with_passengers(trips, month), HOUR, measures, ordered)
 
 
 def monthly_preview(kpi: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from triplake.config import Settings
 from triplake.functions.flags import flag_expressions
@@ -35,3 +36,15 @@ def silver(raw: DataFrame, taxi_type: str, settings: Settings) -> DataFrame:
     if taxi_type == "fhv":
         kept = one_per_content(kept)
     return instrumented(kept, taxi_type)
+
+
+def by_pickup_month(clean: DataFrame) -> DataFrame:
+    """Rows dealt so that those of a month of pickup lie together.
+
+    Copies are found by content, which leaves rows of every month in every file,
+    and a write partitioned by month would then open a file for each task and
+    month. The rebalance hint lets adaptive execution split a month that is large
+    and merge small ones.
+    """
+    dealt = clean.withColumn("_month", F.trunc("pickup_datetime", "month")).hint("rebalance", F.col("_month"))
+    return dealt.drop("_month")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from triplake.functions.columns import optional_col, token_flag
 from triplake.schema import CANONICAL
@@ -67,6 +69,14 @@ _MAPPINGS = {
 }
 
 
+def in_utc(raw: DataFrame) -> DataFrame:
+    """Zoned trip times as UTC wall time, whatever zone the session has; the time of ingestion stays an instant."""
+    zoned = [f.name for f in raw.schema if isinstance(f.dataType, T.TimestampType) and f.name.lower() != "ingested_at"]
+    seconds = "CAST(CAST(unix_micros(`{0}`) AS DECIMAL(20, 0)) / 1000000 AS DECIMAL(18, 6))"
+    wall = "timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, " + seconds + ")"
+    return raw.withColumns({name: F.expr(wall.format(name)) for name in zoned}) if zoned else raw
+
+
 def to_canonical(raw: DataFrame, taxi_type: str) -> DataFrame:
     """Raw rows of a category as the canonical columns; what a source lacks is a typed NULL.
 
@@ -79,6 +89,7 @@ def to_canonical(raw: DataFrame, taxi_type: str) -> DataFrame:
         "ingested_at": f"coalesce({optional_col(raw, 'ingested_at')}, current_timestamp())",
         "source_file": f"coalesce({optional_col(raw, 'source_file')}, '{UNKNOWN_FILE}')",
     }
+    raw = in_utc(raw)
     return raw.selectExpr(
         *[f"try_cast({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in CANONICAL]
     )

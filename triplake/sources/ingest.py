@@ -19,6 +19,11 @@ from triplake.sources.files import MonthFile
 
 _SCHEMA_READERS = 16
 
+#: What tagging adds; a file's own columns of these names, in any spelling, are replaced.
+_LINEAGE = ("ingested_at", "source_file", "_partition_year", "_partition_month")
+
+_MOST_DIGITS = 38
+
 _INTEGRAL = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
 
 
@@ -32,14 +37,28 @@ def _wider(a: T.DataType, b: T.DataType) -> T.DataType:
         return a
     if a in _INTEGRAL and b in _INTEGRAL:
         return max(a, b, key=_INTEGRAL.index)
+    exact = [_as_decimal(kind) for kind in (a, b)]
+    if all(exact):
+        scale = max(kind.scale for kind in exact)
+        whole = max(kind.precision - kind.scale for kind in exact)
+        if whole + scale <= _MOST_DIGITS:
+            return T.DecimalType(whole + scale, scale)
     if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
         return T.DoubleType()
-    clock = (T.TimestampType, T.TimestampNTZType)
+    clock = (T.TimestampType, T.TimestampNTZType, T.DateType)
     if isinstance(a, clock) and isinstance(b, clock):
         return T.TimestampNTZType()
     return T.StringType()
 
 
+def _as_decimal(kind: T.DataType) -> T.DecimalType | None:
+    """The decimal that holds every value of an exact type."""
+    if isinstance(kind, T.DecimalType):
+        return kind
+    digits = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}.get(type(kind))
+    return T.DecimalType(digits, 0) if digits else None
+
+
 def common_schema(schemas: Iterable[T.StructType]) -> T.StructType:
     """All columns of all schemas, matched without regard to case, each in a type that fits all.
 
@@ -70,6 +89,10 @@ def _onto(df: DataFrame, schema: T.StructType) -> list[Column]:
     ]
 
 
+def onto(df: DataFrame, schema: T.StructType) -> DataFrame:
+    return df.select(*_onto(df, schema))
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Union frames of one schema pairwise, which keeps the unoptimised plan shallow."""
     frames = list(frames)
@@ -81,6 +104,7 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 def union_months(months: Sequence[tuple[MonthFile, DataFrame]]) -> DataFrame:
     """Bring the months onto their common schema, tag each row with its file, and union them."""
+    months = [(file, df.drop(*(f"`{name}`" for name in df.columns if name.lower() in _LINEAGE))) for file, df in months]
     schema = common_schema(df.schema for _, df in months)
     return union_all(
         [
