@@ -166,10 +166,17 @@ def _ctes() -> dict[str, str]:
     ctes = {f"canonical_{t}": CANONICAL[t] for t in TYPES}
     ctes |= {f"kept_{t}": _valid(t) for t in TYPES}
     ctes |= {f"valid_{t}": _keyed(f"kept_{t}", t) for t in TYPES}
+    ctes |= {
+        f"corrected_{t}": f"SELECT * FROM kept_{t} UNION ALL SELECT * REPLACE (total_amount + 2 AS total_amount,"
+        " base_passenger_fare + 1 AS base_passenger_fare, coalesce(NOT is_shared_ride, true) AS is_shared_ride)"
+        f" FROM kept_{t}"
+        for t in TYPES
+    }
+    ctes |= {f"reissued_{t}": _keyed(f"corrected_{t}", t) for t in TYPES}
     ctes |= {f"unruled_{t}": _keyed(f"canonical_{t}", t) for t in TYPES}
     ctes |= {f"silver_{t}": f"SELECT * FROM valid_{t}" for t in TYPES if t != "fhv"}
     ctes["silver_fhv"] = _ONE_COPY
-    ctes |= {f"{layer}_all": _all(layer) for layer in ("canonical", "valid", "silver")}
+    ctes |= {f"{layer}_all": _all(layer) for layer in ("canonical", "valid", "reissued", "silver")}
     ctes["fact"] = f"""
         SELECT * EXCLUDE (total_amount),
                CASE WHEN taxi_type = 'hvfhv' THEN {_TOTAL} ELSE total_amount END AS total_amount,
@@ -407,6 +414,8 @@ def all_sql() -> dict[str, str]:
         "violations_before_rules": _violations("unruled"),
         "null_totals": "SELECT taxi_type, count(*) FILTER (WHERE total_amount IS NULL) AS n_null_totals"
         " FROM fact WHERE taxi_type <> 'fhv' GROUP BY taxi_type",
+        "null_totals_before_rules": "SELECT taxi_type, count(*) FILTER (WHERE total_amount IS NULL) AS n_null_totals"
+        " FROM canonical_all WHERE taxi_type <> 'fhv' GROUP BY taxi_type",
         "month_coverage": "SELECT count(*) AS n_months, CAST(337 AS BIGINT) AS expected,"
         " count(*) = 337 AS complete FROM monthly",
         "sample_limit": 'SELECT * FROM trips_view ORDER BY tpep_pickup_datetime, taxi_type, "VendorID",'
@@ -418,6 +427,9 @@ def all_sql() -> dict[str, str]:
         "varying_fields": _varying_fields(),
         "fare_conflicts": _CONFLICTS,
         "ride_repeats": _REPEATS,
+        "varying_fields_reissued": _varying_fields().replace("valid_all", "reissued_all"),
+        "fare_conflicts_reissued": _CONFLICTS.replace("valid_all", "reissued_all"),
+        "ride_repeats_reissued": _REPEATS.replace("valid_all", "reissued_all"),
         "removed_by_rule": _removed_by_rule(),
         "flag_overlap": _OVERLAP,
         "mom_change": _CHANGE,

@@ -62,3 +62,13 @@ def test_entry_is_the_monthly_kpi(spark):
     rows = result.collect()
     assert len(rows) == 71
     assert tuple(rows[0]) == (1996, 1, 57464.11, 59, 3390382.37)
+
+
+def test_audits_see_what_they_look_for(spark):
+    """Over corrected records none of the audits may come out as zeros only."""
+    rows = {name: QUERIES[name](spark, SF_DIR).collect() for name in QUERIES if name.endswith(("_reissued", "null_totals_before_rules"))}
+    assert {r.taxi_type: r.n_null_totals > 0 for r in rows["null_totals_before_rules"]} == {"yellow": False, "green": False, "hvfhv": True}
+    varying = {(r.taxi_type, r.column_name) for r in rows["varying_fields_reissued"] if r.n_varying}
+    assert {("hvfhv", "base_passenger_fare"), ("fhv", "is_shared_ride"), ("yellow", "total_amount")} <= varying
+    assert rows["fare_conflicts_reissued"] and {r.taxi_type for r in rows["fare_conflicts_reissued"]} == {"hvfhv"}
+    assert any(r.n_conflicting for r in rows["ride_repeats_reissued"])

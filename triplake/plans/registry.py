@@ -35,6 +35,11 @@ class Layers:
         """Rows that satisfy the rules, copies included, with keys and flags."""
         return layer.instrumented(layer.valid(self.raw(taxi_type), taxi_type, SETTINGS), taxi_type)
 
+    def reissued(self, taxi_type: str) -> DataFrame:
+        """Valid rows, each reported a second time with corrections, with keys and flags."""
+        kept = layer.valid(self.raw(taxi_type), taxi_type, SETTINGS)
+        return layer.instrumented(standins.reissued(kept), taxi_type)
+
     def silver(self, taxi_type: str) -> DataFrame:
         return layer.silver(self.raw(taxi_type), taxi_type, SETTINGS)
 
@@ -102,6 +107,7 @@ def all_queries() -> dict[str, Query]:
             )
         ),
         "null_totals": _query(lambda at: quality.null_totals(at.fact())),
+        "null_totals_before_rules": _query(lambda at: quality.null_totals(at.together(at.canonical))),
         "month_coverage": _query(lambda at: quality.month_coverage(kpi.yellow_totals(at.fact()), SETTINGS)),
         "sample_limit": _query(
             lambda at: at.view().orderBy("tpep_pickup_datetime", *kpi.VIEW_COLUMNS.values()).limit(10)
@@ -113,6 +119,9 @@ def all_queries() -> dict[str, Query]:
         "varying_fields": _query(lambda at: audit.varying_fields(at.together(at.valid))),
         "fare_conflicts": _query(lambda at: audit.fare_conflicts(at.together(at.valid))),
         "ride_repeats": _query(lambda at: audit.ride_repeats(at.together(at.valid))),
+        "varying_fields_reissued": _query(lambda at: audit.varying_fields(at.together(at.reissued))),
+        "fare_conflicts_reissued": _query(lambda at: audit.fare_conflicts(at.together(at.reissued))),
+        "ride_repeats_reissued": _query(lambda at: audit.ride_repeats(at.together(at.reissued))),
         "removed_by_rule": _query(lambda at: audit.removed_by_rule(at.each(at.canonical), SETTINGS)),
         "flag_overlap": _query(lambda at: audit.flag_overlap(at.together(at.silver))),
         "mom_change": _query(lambda at: audit.month_over_month(kpi.yellow_totals(at.fact()))),

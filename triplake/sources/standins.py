@@ -10,6 +10,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from triplake.config import Settings
 from triplake.sources.files import MonthFile
@@ -141,3 +142,15 @@ def drifting_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_months(
         [(MonthFile("", f"drift_2023-{month:02d}.parquet", 2023, month), df) for month, df in months.items()]
     )
+
+
+def reissued(trips: DataFrame) -> DataFrame:
+    """Every trip twice: as it is, and as a correction with another total, base fare and shared flag."""
+    corrected = trips.withColumns(
+        {
+            "total_amount": F.col("total_amount") + 2,
+            "base_passenger_fare": F.col("base_passenger_fare") + 1,
+            "is_shared_ride": F.coalesce(~F.col("is_shared_ride"), F.lit(True)),
+        }
+    )
+    return trips.unionByName(corrected)
