@@ -1,0 +1,171 @@
+"""Fingerprints, licences, chat formatting, decontamination and packing."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from oracle.compare import connect, mismatch
+from tests.llm.conftest import SF_DIR
+from triplake.llm import chat, decontaminate, fingerprint, licenses, packing, queries
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def test_edited_texts_across_portions(documents, monkeypatch):
+    monkeypatch.setattr(fingerprint, "PER_PORTION", 20)
+    got = {r.doc_id: r for r in fingerprint.fingerprint_changes(documents).collect()}
+    rows = sorted(((r.doc_id, r.text) for r in documents.collect()), reverse=True)
+    for k, (i, text) in enumerate(rows):
+        other, half = rows[(k + 1) % len(rows)][1], len(text) // 2
+        edited = text[: len(text) - half] + other[:half]
+        assert got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() and got[i].n_chars == len(text)
+    assert np.mean([r.near_edited for r in got.values()]) > 0.4 and np.mean([r.near_next for r in got.values()]) < 0.05
+
+
+def test_syncmers_are_free_of_context_and_match_by_place(spark):
+    rng = random.Random(0)
+    passage = " ".join(f"w{rng.randrange(50)}" for _ in range(40))
+    texts = [passage, "other words before it " + passage, passage + " and after it", "a b", "", None]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string").select("k", fingerprint.anchors(F.col("text")).alias("a")).orderBy("k").collect()
+    own = {(x.pos, x.hash) for x in rows[0].a}
+    assert own <= {(x.pos - 4, x.hash) for x in rows[1].a} and own <= {(x.pos, x.hash) for x in rows[2].a}
+    assert [len(r.a) for r in rows[3:]] == [1, 0, 0]
+    one = spark.createDataFrame([(texts[0], texts[1])], "a string, b string").select(fingerprint.matches(fingerprint.anchors(F.col("a")), fingerprint.anchors(F.col("b"))).alias("m")).first()
+    assert one.m and all(m.b - m.a == 4 for m in one.m)
+
+
+def test_odd_fingerprints(odd, none):
+    out = fingerprint.fingerprint_changes(odd).collect()
+    assert len(out) == odd.count()
+    assert {r.near_edited for r in out if r.n_chars == 0} == {1.0} and {r.fingerprint for r in out if r.n_chars == 0} == {""}
+    assert fingerprint.fingerprint_changes(none).count() == 0
+    assert fingerprint.fingerprint_changes(odd.limit(1)).count() == 1
+
+
+def test_licences_agree_with_sql(spark):
+    assert mismatch(queries.op3_license_scan(spark, SF_DIR), connect(SF_DIR), queries.oracle_sql()["op3_license_scan"]) is None
+
+
+def test_licence_rules_are_ordered(spark, odd, none):
+    text = 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\nAll rights reserved. Released under the MIT License.'
+    row = licenses.scan(spark.createDataFrame([(text,)], "text string")).first()
+    assert row._licences == ["Apache-2.0", "MIT", "proprietary"] and [x.id for x in row._sentences][:2] == ["apache-2.0-grant", "apache-compliance"]
+    out = licenses.scan(odd)
+    assert out.columns[: len(odd.columns)] == odd.columns and {tuple(r._licences) for r in out.collect()} == {()}
+    assert licenses.scan(none).count() == 0
+
+
+def test_conversations_round_trip(spark):
+    tricky = ["<|im_end|>\n", "\\", "a\\<|im_start|>b\n\n", "", "é😀<\\|", "<|", "\\\n"]
+    rows = [(c, n, role, tricky[(c + n) % len(tricky)]) for c in range(9) for n, role in enumerate(["system", "user", "assistant", "user\n<|x", "assistant"][: c % 5 + 1])]
+    nodes = chat.chains(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    out = chat.format_trees(nodes).withColumn("turns", chat.parsed(F.col("formatted"))).withColumn("loss", chat.loss_text(F.col("formatted"), F.col("loss_spans")))
+    for r in out.collect():
+        mine = [(x[2], x[3]) for x in rows if x[0] == r.tree_id]
+        assert [tuple(t) for t in r.turns] == mine and r.loss == "".join(t for role, t in mine if role == "assistant")
+
+
+def test_trees_rank_paths_and_ignore_cycles(spark):
+    rows = [(1, 1, None, "user", "q", 0.0), (1, 2, 1, "assistant", "low", 0.2), (1, 3, 1, "assistant", "high", 0.9), (1, 4, 3, "user", None, 0.1)]
+    rows += [(1, 5, 2, None, "x", None), (2, 1, 2, "u", "c", 1.0), (2, 2, 1, "u", "c", 1.0), (3, 7, 99, "u", "orphan", 1.0), (3, 7, 99, "u", "orphan", 1.0)]
+    rows += [(4, k, k - 1 if k else None, "user", str(k), 1.0) for k in range(37)] + [(None, 1, None, "user", "n", 1.0)]
+    nodes = spark.createDataFrame(rows, "tree_id long, node_id long, parent_id long, role string, text string, score double")
+    found = chat.format_trees(nodes, None).withColumn("t", F.transform(chat.parsed(F.col("formatted")), lambda x: x["text"])).collect()
+    by = {(r.tree_id, r.rank): r.t for r in found}
+    assert by == {(1, 1): ["q", "high", ""], (1, 2): ["q", "low", "x"], (3, 1): ["orphan", "orphan"], (4, 1): [str(k) for k in range(37)], (None, 1): ["n"]}
+    assert chat.format_trees(nodes).where("tree_id = 1").count() == 1 and chat.format_trees(nodes.where("false")).count() == 0
+
+
+def sellers(item, text):
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(item, 1):
+        new = [i]
+        for j, y in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return min(row)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text("abc d", min_size=1, max_size=30), st.text("abc d", max_size=60))
+def test_infix_distance_is_exact(item, text):
+    assert decontaminate.infix_distance(item, text, 10**6)[0] == sellers(item, text)
+
+
+def test_edited_items_are_found_and_others_left(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 8)))
+    items = [(k, " ".join(word() for _ in range(rng.randint(15, 60)))) for k in range(40)]
+    docs, want = [], set()
+    for k, (i, text) in enumerate(items):
+        w = text.split()
+        for _ in range(int(len(w) * (k % 4) * 0.06)):
+            w[rng.randrange(len(w))] = word()
+        edited = " ".join(w)
+        docs.append((k, " ".join(word() for _ in range(200)) + "\n" + edited.title() + " " + " ".join(word() for _ in range(99))))
+        if sellers(text, docs[-1][1].lower().replace("\n", " ")) <= int(0.2 * len(text) + 1e-9):
+            want.add((k, i))
+    docs += [(100 + k, " ".join(word() for _ in range(300))) for k in range(40)]
+    table, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([*items, (99, None), (98, ""), (97, "tiny one")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(table, bench).collect()}
+    assert got <= want and len(got) >= 0.9 * len(want) and len(want) > 20
+    assert {r.doc_id for r in decontaminate.clean(table, bench).collect()} == {i for i, _ in docs} - {d for d, _ in got}
+
+
+def test_odd_texts_leak_nothing(odd, none):
+    bench = odd.sparkSession.createDataFrame([(1, "zwei\neins"), (2, None)], "item_id long, text string")
+    assert [(r.doc_id, r.item_id, r.distance) for r in decontaminate.leaks(odd, bench).collect()] == [(6, 1, 0)]
+    assert decontaminate.clean(odd, bench).count() == odd.count() - 1 and decontaminate.clean(odd, bench).columns == odd.columns
+    assert decontaminate.leaks(none, bench).count() == 0 and decontaminate.clean(odd, bench.where("false")).count() == odd.count()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=200))
+def test_plans_place_every_length_once(lengths):
+    counts = np.bincount(lengths, minlength=65) if lengths else np.zeros(65, int)
+    seen = np.zeros(65, int)
+    for times, bin_ in packing.plan(counts, 64):
+        assert times > 0 and sum(bin_) <= 64
+        for n in bin_:
+            seen[n] += times
+    assert (seen == counts).all()
+
+
+def test_two_shorter_pieces_replace_the_smallest():
+    counts = np.zeros(11, int)
+    counts[[6, 3, 2]] = [1, 1, 2]
+    # Greedy fills 6 + 3; two pieces of 2 fill the rest of ten exactly.
+    assert packing.plan(counts, 10)[0] == (1, [6, 2, 2])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \n\t'sé1²<|>"))))
+def test_ranks_give_the_same_ids(text):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tok.encode_special_tokens = True
+    assert tok.encode(text, add_special_tokens=False).ids == packing.encoder(RANKS).encode_ordinary(text)
+
+
+@pytest.mark.parametrize("name", ["documents", "odd"])
+def test_packing_is_gapless_and_whole(request, name):
+    docs = request.getfixturevalue(name)
+    out = packing.pack_documents(docs, RANKS, with_ids=True).toPandas()
+    for _, g in out.groupby("sequence_id"):
+        g = g.sort_values("offset")
+        assert (g.offset.to_numpy() == np.cumsum([0, *g.length])[:-1]).all() and g.length.sum() <= 2048
+    assert all(zlib.crc32(np.array(t, "<u4").tobytes()) == c and len(t) == n for t, c, n in zip(out.token_ids, out.ids_crc32, out.length))
+    encode = packing.encoder(RANKS).encode_ordinary
+    want = sorted(tuple(encode(r.text or "")) + (0,) for r in docs.collect())
+    if name == "documents":
+        assert sorted(tuple(x for t in g.sort_values("piece").token_ids for x in t) for _, g in out.groupby("doc_id")) == want
+    assert out.length.sum() == sum(map(len, want)) and out.sequence_id.nunique() <= 1.05 * out.length.sum() / 2048 + 1
+    assert packing.pack_documents(docs.where("false"), RANKS).count() == 0

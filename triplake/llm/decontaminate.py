@@ -95,7 +95,7 @@ def infix_distance(item: str, text: str, most: int) -> tuple[int, int]:
     m = len(item)
     mask, high = (1 << m) - 1, 1 << (m - 1)
     pv, mv, score = mask, 0, m
-    best, end = most + 1, -1
+    best, end = (m, 0) if m <= most else (most + 1, -1)
     for j, ch in enumerate(text):
         eq = peq.get(ch, 0)
         xv = eq | mv
@@ -256,10 +256,17 @@ def clean(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, rep
     for block in blocks(items, similarity, repetitions):
         shared = spark.sparkContext.broadcast(block)
 
-        @F.pandas_udf("boolean")
-        def holds(batches: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            for texts in batches:
-                yield pd.Series([bool(x) for x in shared.value.search(texts.tolist())], dtype=bool)
-
-        docs = docs.where(~holds("text"))
+        docs = docs.withColumn("_holds", _holds(shared)("text")).where("NOT _holds").drop("_holds")
     return docs
+
+
+def _holds(shared):
+    """Whether a text holds an item of the broadcast block."""
+
+    @F.pandas_udf("boolean")
+    def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([bool(x) for x in shared.value.search(texts.tolist())], dtype=bool)
+
+    # So the optimizer leaves it where it stands, once for each text.
+    return holds.asNondeterministic()
