@@ -21,26 +21,30 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triplake.llm.words import Rows, bounded_sample, bucket, fold
+from triplake.llm.words import Buckets, Rows, bounded_sample, bucket, fold
 
 MOST_TEXTS = 1600
 BUCKETS = 1 << 16
 WIDTH = 16
-GRAMS = (1, 2, 3, 4)
+GRAMS = (1, 2, 3)
 UNKNOWN = "und"
 
 #: Words of a training text in one example; a longer text gives several.
 EXAMPLE = 60
 
 
+#: Buckets of n-grams seen in this process; there are few of them beside the words.
+_KNOWN = Buckets(BUCKETS)
+
+
 def features(word: str) -> np.ndarray:
     """Rows of a lower-case word and its n-grams."""
-    own = "".join(c for c in word if c.isalpha())
+    own = word if word.isalpha() else "".join(filter(str.isalpha, word))
     if not own:
         return np.zeros(0, np.int32)
     marked = f"<{own}>"
     grams = [marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1)]
-    return np.array([bucket(g, BUCKETS) for g in [*grams, f"={own}"]], dtype=np.int32)
+    return np.array([*map(_KNOWN.__getitem__, grams), bucket(f"={own}", BUCKETS)], dtype=np.int32)
 
 
 def words(text: str) -> list[str]:
@@ -58,9 +62,10 @@ class Language:
     def predictor(self):
         n = len(self.langs)
 
+        scores = np.column_stack([self.scores, np.ones(len(self.scores), np.float32)]) if n else self.scores
+
         def row(word: str) -> np.ndarray:
-            ids = features(word)
-            return np.append(self.scores[ids].sum(axis=0), len(ids)) if len(ids) else np.zeros(n + 1)
+            return scores[features(word)].sum(axis=0)
 
         known = Rows(row, n + 1)
 

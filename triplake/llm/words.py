@@ -44,6 +44,19 @@ def bucket(feature: str, buckets: int) -> int:
     return xxhash.xxh64_intdigest(feature.encode("utf-8", "replace")) % buckets
 
 
+class Buckets(dict):
+    """feature -> its bucket, worked out once."""
+
+    def __init__(self, buckets: int):
+        self.buckets = buckets
+
+    def __missing__(self, feature: str) -> int:
+        if len(self) > MEMORY:
+            self.clear()
+        self[feature] = found = bucket(feature, self.buckets)
+        return found
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo folds; a null id counts as the text '-'."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("-")).cast("binary")) % folds
