@@ -23,8 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from triplake.llm.shared import stored
-from triplake.llm.words import Rows, bounded_sample, bucket
+from triplake.llm.shared import let, stored
+from triplake.llm.words import Buckets, Rows, bounded_sample, bucket
 
 MOST_TEXTS = 3000
 BUCKETS = 1 << 16
@@ -32,50 +32,49 @@ BUCKETS = 1 << 16
 ABSTAIN = -1
 
 
-def _share(pattern: str) -> Column:
-    """Share of the text's characters that the pattern matches."""
+def measured(docs: DataFrame) -> DataFrame:
+    """docs with _m, plain counts of each text: shares of characters or words; null for a null or empty one."""
     n = F.length("text")
-    return F.when(n > 0, (n - F.length(F.regexp_replace("text", pattern, ""))) / n)
-
-
-def measures() -> dict[str, Column]:
-    """Plain counts of a text; null for a null or empty one."""
-    words = F.array_remove(F.split("text", r"\s+"), "")
-    n = F.size(words)
-    return {
-        "upper": _share(r"\p{Lu}"),
-        "symbols": _share(r"[\p{L}\p{N}\s.,;:'\"()!?-]"),
-        "shouts": _share(r"[^!]"),
-        "bars": _share(r"[^|]"),
-        "digits": _share(r"\P{N}"),
-        "distinct": F.when(n > 0, F.size(F.array_distinct(words)) / n),
-        "repeats": F.when(n > 1, F.size(F.filter(F.zip_with(F.slice(words, 1, n - 1), F.slice(words, 2, n - 1), lambda a, b: a == b), lambda x: x)) / n),
-        "words": F.when(n > 0, n),
-    }
+    share = lambda count: F.when(n > 0, count / n)
+    without = lambda mark: n - F.length(F.replace("text", F.lit(mark), F.lit("")))
+
+    def of_words(words: Column) -> Column:
+        k = F.size(words)
+        same = F.filter(F.zip_with(F.slice(words, 1, F.greatest(k - 1, F.lit(0))), F.slice(words, 2, F.greatest(k - 1, F.lit(0))), lambda a, b: a == b), lambda x: x)
+        return F.struct(F.when(k > 0, k).alias("words"), F.when(k > 0, F.size(F.array_distinct(words)) / k).alias("distinct"), F.when(k > 1, F.size(same) / k).alias("repeats"))
+
+    return docs.withColumn("_w", let(F.array_remove(F.split("text", r"\s+"), ""), of_words)).withColumn(
+        "_m",
+        F.struct(
+            share(F.regexp_count("text", F.lit(r"\p{Lu}"))).alias("upper"),
+            share(F.regexp_count("text", F.lit(r"[^\p{L}\p{N}\s.,;:'\"()!?-]"))).alias("symbols"),
+            share(without("!")).alias("shouts"),
+            share(without("|")).alias("bars"),
+            "_w.*",
+        ),
+    ).drop("_w")
 
 
 def votes(m=lambda name: F.col(name)) -> dict[str, Column]:
     """One vote for each labeller: each of the first ones knows one kind of bad text and abstains on the rest."""
     bad_from = lambda value, limit: F.when(value >= limit, 0).otherwise(ABSTAIN)
-    other = lambda name: 1 - m(name)
-    prose = (m("words") >= 20) & (m("distinct") > 0.3) & (m("upper") < 0.08) & (other("symbols") < 0.01) & (m("repeats") < 0.05)
+    prose = (m("words") >= 20) & (m("distinct") > 0.3) & (m("upper") < 0.08) & (m("symbols") < 0.01) & (m("repeats") < 0.05)
     return {
         "case": bad_from(m("upper"), 0.3),
-        "symbols": bad_from(other("symbols"), 0.05),
-        "shouts": bad_from(other("shouts"), 0.03),
-        "bars": bad_from(other("bars"), 0.02),
+        "symbols": bad_from(m("symbols"), 0.05),
+        "shouts": bad_from(m("shouts"), 0.03),
+        "bars": bad_from(m("bars"), 0.02),
         "repeats": bad_from(m("repeats"), 0.25),
         "variety": F.when((m("words") >= 40) & (m("distinct") < 0.15), 0).otherwise(ABSTAIN),
-        "digits": bad_from(other("digits"), 0.3),
         "prose": F.when(prose, 1).otherwise(ABSTAIN),
     }
 
 
 def voted(docs: DataFrame) -> DataFrame:
     """docs with _votes, an array of one vote for each labeller."""
-    measured = docs.withColumn("_m", F.struct(*(c.alias(n) for n, c in measures().items())))
+    found = measured(docs)
     all_votes = F.array(*(v.cast("int") for v in votes(lambda n: F.col(f"_m.{n}")).values()))
-    return measured.withColumn("_votes", all_votes).drop("_m")
+    return found.withColumn("_votes", all_votes).drop("_m")
 
 
 @dataclass
@@ -104,10 +103,18 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: i
     return Labellers(good, tables, {tuple(int(x) for x in p): float(x) for p, x in zip(patterns, q, strict=True)})
 
 
+#: Buckets of features seen in this process.
+_KNOWN = Buckets(BUCKETS)
+
+
 def features(word: str, same: bool) -> list[int]:
     """Hashed features of a word that follows an equal one or not."""
-    shape = re.sub(r"(.)\1+", r"\1", "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word))
-    return [bucket(f, BUCKETS) for f in (f"shape={shape}", f"end={word[-2:] if not word[-1].isalnum() else 'a'}", f"same={same}", f"word={word.lower()}")]
+    if word.isalpha() and (word.islower() or word.istitle()):
+        shape = "x" if word.islower() else "Xx" if len(word) > 1 else "X"
+    else:
+        shape = re.sub(r"(.)\1+", r"\1", "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word))
+    end = "a" if word[-1].isalnum() else word[-2:]
+    return [_KNOWN[f"shape={shape}"], _KNOWN[f"end={end}"], _KNOWN[f"same={same}"], bucket(f"word={word.lower()}", BUCKETS)]
 
 
 def _keys(text: str | None) -> list[str]:
@@ -122,7 +129,8 @@ class Scorer:
     bias: float
 
     def scorer(self):
-        known = Rows(lambda k: np.array([self.weights[features(k[1:], k[0] == "=")].sum(), 1.0]), 2)
+        weights = self.weights.tolist()
+        known = Rows(lambda k: (sum(weights[i] for i in features(k[1:], k[0] == "=")), 1.0), 2)
 
         def score(text: str | None) -> float:
             total, n = known.total(_keys(text))
