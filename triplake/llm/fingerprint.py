@@ -75,11 +75,11 @@ def matches(a: Column, b: Column) -> Column:
     return let(once(b), lambda at: F.transform(F.filter(a, lambda p: F.map_contains_key(at, p["hash"])), lambda p: F.struct(p["pos"].alias("a"), at[p["hash"]].alias("b"))))
 
 
-def with_next(docs: DataFrame, carried: Column) -> tuple[DataFrame, Window]:
-    """docs with _next, `carried` of the next document in descending doc_id (after the last: of the first), and _ghost rows.
+def with_next(docs: DataFrame) -> tuple[DataFrame, Window]:
+    """docs(doc_id, _carried) with _next, _carried of the next document in descending doc_id (after the last: of the first).
 
     Ids are dealt over portions by approximate quantiles, so no task sorts all. Each portion's first document is sent
-    to the portion before as well, marked _ghost, for the last row there. Null ids come last; equal ids go by text.
+    to the portion before as well, as a row with _g = 1, for the last row there. Null ids come last; equal ids go by text.
     """
     null = -(2**63)
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(null))
@@ -88,33 +88,33 @@ def with_next(docs: DataFrame, carried: Column) -> tuple[DataFrame, Window]:
     share = [i / parts for i in range(1, parts)]
     borders = sorted(set(docs.agg(F.percentile_approx(key, share, 100 * parts)).first()[0] or [])) if share and rows else []
     portion = F.size(F.filter(F.array(*map(F.lit, borders)), lambda b: b <= F.col("_key"))) if borders else F.lit(0)
-    keyed = docs.select("*", carried.alias("_carried"), key.alias("_key"))
-    keyed = keyed.withColumn("_portion", portion)
+    keyed = docs.withColumn("_key", key).withColumn("_portion", portion)
     # One number for each portion: its greatest id.
     heads = {r._portion: r.head for r in keyed.groupBy("_portion").agg(F.max("_key").alias("head")).collect()}
     held = sorted(heads)
     # The first document of portion p follows the last of the next higher portion that has any; the top one follows the lowest.
     above = {heads[p]: held[(i + 1) % len(held)] for i, p in enumerate(held)}
     if above:
-        at = F.create_map(*(F.lit(x) for pair in above.items() for x in pair))
+        at = F.create_map(*(F.lit(x).cast(kind) for pair in above.items() for x, kind in zip(pair, ("long", "int"))))
         also = F.when(at[F.col("_key")].isNull(), F.array(F.struct(F.col("_portion").alias("p"), F.lit(0).alias("g")))).otherwise(F.array(F.struct(F.col("_portion").alias("p"), F.lit(0).alias("g")), F.struct(at[F.col("_key")].alias("p"), F.lit(1).alias("g"))))
         keyed = keyed.withColumn("_to", F.explode(also))
     else:
         keyed = keyed.withColumn("_to", F.struct(F.lit(0).alias("p"), F.lit(0).alias("g")))
-    order = Window.partitionBy("_to.p").orderBy("_to.g", F.col("_key").desc(), F.xxhash64("_carried"))
+    # Columns of their own, so that windows over one order share its shuffle and sort.
+    keyed = keyed.select("doc_id", "_carried", "_key", F.col("_to.p").alias("_p"), F.col("_to.g").alias("_g"), F.xxhash64("_carried").alias("_tie"))
+    order = Window.partitionBy("_p").orderBy("_g", F.col("_key").desc(), "_tie")
     return keyed.withColumn("_next", F.lead("_carried").over(order)), order
 
 
 def edited_texts(docs: DataFrame) -> DataFrame:
     """doc_id, _text, _edited, _n, _anchors (hashes), _next_anchors of every document."""
-    text = F.coalesce("text", F.lit(""))
-    found, order = with_next(docs.select("doc_id", "text"), text)
+    found, order = with_next(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_carried")))
     n = F.length("_carried")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.call_function("left", F.col("_carried"), n - half), F.call_function("left", F.col("_next"), half))
-    found = found.select("doc_id", "_key", "_to", F.col("_carried"), edited.alias("_edited"), n.cast("long").alias("_n"), hashes(F.col("_carried")).alias("_anchors"))
+    found = found.select("doc_id", "_key", "_p", "_g", "_tie", F.col("_carried"), edited.alias("_edited"), n.cast("long").alias("_n"), hashes(F.col("_carried")).alias("_anchors"))
     found = found.withColumn("_next_anchors", F.lead("_anchors").over(order))
-    return found.where("_to.g = 0").drop("_key", "_to").withColumnRenamed("_carried", "_text")
+    return found.where("_g = 0").drop("_key", "_p", "_g", "_tie").withColumnRenamed("_carried", "_text")
 
 
 def fingerprint_changes(docs: DataFrame) -> DataFrame:
