@@ -70,7 +70,7 @@ def main() -> None:
     pipeline = Pipeline(spark, settings)
     landed = {t: Pipeline(spark, replace(settings, year_months=months[t])) for t in TAXI_TYPES}
 
-    steps = {f"ingest_{t}": lambda t=t: landed[t].ingest(t) for t in TAXI_TYPES}
+    steps = {f"ingest_{t}": lambda t=t: landed[t].ingest(t, replace_all=True) for t in TAXI_TYPES}
     steps |= {f"table_silver_{t}": lambda t=t: pipeline.build_silver(t) for t in TAXI_TYPES}
     steps["table_fact"] = pipeline.build_fact
     steps["table_kpis"] = pipeline.build_kpis
