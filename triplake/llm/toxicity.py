@@ -157,8 +157,9 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0,
     if not share:
         return Toxicity(np.zeros(0, np.int64), np.zeros(0), -6.0)
     prior = min(max(float(share), 0.01), 0.9)
+    # About most_positive ids.
     positive = bounded_sample(known.where("toxic = 1"), "doc_id", most_positive).select("doc_id")
-    positive = kept.join(positive, "doc_id").select("text", F.lit(True).alias("positive"))
+    positive = kept.join(F.broadcast(positive), "doc_id").select("text", F.lit(True).alias("positive"))
     unlabelled = bounded_sample(kept, "doc_id", most_unlabelled).select("text", F.lit(False).alias("positive"))
     sample = positive.unionByName(unlabelled).select(F.xxhash64("text", "positive").alias("doc"), "text", "positive")
     found = stored(sample.mapInPandas(_collected, "doc long, positive boolean, f array<int>"))
