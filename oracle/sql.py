@@ -430,6 +430,11 @@ def all_sql() -> dict[str, str]:
         "varying_fields_reissued": _varying_fields().replace("valid_all", "reissued_all"),
         "fare_conflicts_reissued": _CONFLICTS.replace("valid_all", "reissued_all"),
         "ride_repeats_reissued": _REPEATS.replace("valid_all", "reissued_all"),
+        "cast_losses": " UNION ALL ".join(
+            f"SELECT 'yellow' AS taxi_type, '{name}' AS column_name, count(*) AS n_lost FROM lineitem"
+            f" WHERE l_linenumber = {number}"
+            for name, number in (("fare_amount", 7), ("trip_distance", 1))
+        ),
         "removed_by_rule": _removed_by_rule(),
         "flag_overlap": _OVERLAP,
         "mom_change": _CHANGE,

@@ -35,7 +35,7 @@ SHINGLE = 3
 PERCENT = 90
 
 #: Documents in the sample that tells frequent shingles, and how many of them make a shingle frequent.
-SAMPLE = 16_384
+SAMPLE = 8_192
 FREQUENT = 4
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -125,31 +125,29 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
                 rows.append((i, len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, divided(s, frequent.value, percent) if len(s) else s))
             yield pd.DataFrame(rows, columns=["_id", "n", "key", "short"])
 
-    sets = stored(texts.mapInPandas(summed, "_id long, n long, key binary, short array<long>"))
-    classes = stored(sets.where("n > 0").groupBy("key").agg(F.min("_id").alias("node"), F.count(F.lit(1)).alias("times")))
-    # The class's representative is one of its rows; rows of one id with different sets are told apart by the key.
-    own = sets.where("n > 0").join(classes, (sets["key"] == classes["key"]) & (sets["_id"] == classes["node"])).select(F.xxhash64(classes["key"]).alias("node"), "times", "n", "short", classes["key"], classes["node"].alias("_id")).dropDuplicates(["key"])
-    info = F.struct("n").alias("info")
-    postings = own.select(F.explode("short").alias("bucket"), "node", (-F.col("times")).alias("rank"), info)
+    sets = stored(texts.mapInPandas(summed, "_id long, n int, key binary, short array<long>"))
+    # One row a set: its smallest document stands for it, and its lists are made once.
+    of = lambda c: F.min_by(c, "_id").alias(c)
+    classes = sets.where("n > 0").groupBy("key").agg(F.min("_id").alias("_id"), F.count(F.lit(1)).cast("int").alias("times"), of("n"), of("short"))
+    own = stored(classes.select(F.xxhash64("key").alias("node"), "_id", "times", "n", "short"))
+    postings = own.select(F.explode("short").alias("bucket"), "node", (-F.col("times")).alias("rank"), F.col("n").alias("info"))
 
     def fits(a: str, b: str) -> Column:
-        x, y = F.col(f"{a}.n"), F.col(f"{b}.n")
-        return F.least(x, y) * 100 >= F.greatest(x, y) * percent
-
-    place = stored(own.select("node", "_id", "key"))
+        return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
     def verify(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(place, "node")
-        nodes = stored(nodes)
+        nodes = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(own.select("node", "_id"), "node"))
 
         def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             known: dict = {}
             for b in batches:
                 found = [shingles(t, size, known) for t in b.text]
-                yield pd.DataFrame({"_id": b["_id"], "key": [xxhash.xxh3_128_digest(s.tobytes()) for s in found], "s": found})
+                yield pd.DataFrame({"key": [xxhash.xxh3_128_digest(s.tobytes()) for s in found], "s": found})
 
-        full = semi(texts.where("text is not null"), nodes, "_id").select("_id", "text").mapInPandas(members, "_id long, key binary, s array<long>")
-        full = stored(full.join(nodes, ["_id", "key"]).dropDuplicates(["node"]).select("node", "s"))
+        full = semi(texts.where("text is not null"), nodes, "_id").select("text").mapInPandas(members, "key binary, s array<long>")
+        # Other rows of these ids have other sets; rows that repeat id and text give their set once.
+        # Not stored: its one exchange serves both sides of the pairs.
+        full = semi(full.select(F.xxhash64("key").alias("node"), "s"), nodes, "node").dropDuplicates(["node"])
         side = lambda c: full.select(F.col("node").alias(c), F.col("s").alias(f"s{c}"))
 
         def reached(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -171,5 +169,5 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
         least = least.join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
         best = least.groupBy("component").agg(F.min("least").alias("best"))
         least = least.join(best, "component").select("cls", F.col("best").alias("least"))
-    out = rows.join(least, "cls", "left").select("_id", F.col("n").alias("n_shingles"), F.coalesce("least", "_id").alias("_component"))
+    out = rows.join(least, "cls", "left").select("_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "_id").alias("_component"))
     return out.select(public_id("_id").alias("doc_id"), "n_shingles", public_id("_component").alias("component_id"))

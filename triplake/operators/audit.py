@@ -13,6 +13,7 @@ from triplake.functions.flags import NEGATIVE_TIP, TOTAL_BELOW_FARE
 from triplake.functions.keys import RECORD_FIELDS, content_identity
 from triplake.operators.rules import first_failed, keep_valid, rules_for
 from triplake.schema import CANONICAL
+from triplake.sources.canonical import expressions, in_utc
 from triplake.sources.ingest import union_all
 
 DUPLICATE_RULE = "not_a_duplicate"
@@ -197,3 +198,18 @@ def hour_extremes(hourly: DataFrame) -> DataFrame:
 def all_types(frames: Mapping[str, DataFrame]) -> DataFrame:
     """The categories of one layer as one frame, for measures taken per category."""
     return union_all(list(frames.values()))
+
+
+def cast_losses(raw: DataFrame, taxi_type: str) -> DataFrame:
+    """Canonical columns that lose values: present in the source, and NULL because their type cannot hold them.
+
+    The rules count such a row as one with a bad amount; this tells the two apart.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in CANONICAL}
+    lost = {
+        name: F.expr(f"count_if(({value}) IS NOT NULL AND try_cast({value} AS {kinds[name]}) IS NULL)")
+        for name, value in expressions(raw, taxi_type).items()
+    }
+    counts = in_utc(raw).agg(F.lit(taxi_type).alias("taxi_type"), *[count.alias(name + "_") for name, count in lost.items()])
+    found = counts.unpivot(["taxi_type"], [name + "_" for name in lost], "column_name", "n_lost").where("n_lost > 0")
+    return found.withColumn("column_name", F.expr("left(column_name, length(column_name) - 1)"))

@@ -122,6 +122,7 @@ def all_queries() -> dict[str, Query]:
         "varying_fields_reissued": _query(lambda at: audit.varying_fields(at.together(at.reissued))),
         "fare_conflicts_reissued": _query(lambda at: audit.fare_conflicts(at.together(at.reissued))),
         "ride_repeats_reissued": _query(lambda at: audit.ride_repeats(at.together(at.reissued))),
+        "cast_losses": _query(lambda at: audit.cast_losses(standins.unreadable(at.raw("yellow")), "yellow")),
         "removed_by_rule": _query(lambda at: audit.removed_by_rule(at.each(at.canonical), SETTINGS)),
         "flag_overlap": _query(lambda at: audit.flag_overlap(at.together(at.silver))),
         "mom_change": _query(lambda at: audit.month_over_month(kpi.yellow_totals(at.fact()))),

@@ -77,18 +77,23 @@ def in_utc(raw: DataFrame) -> DataFrame:
     return raw.withColumns({name: F.expr(wall.format(name)) for name in zoned}) if zoned else raw
 
 
+def expressions(raw: DataFrame, taxi_type: str) -> dict[str, str]:
+    """The SQL expression of each canonical column that a source has, before its cast."""
+    return {
+        **_MAPPINGS[taxi_type](raw),
+        "taxi_type": f"'{taxi_type}'",
+        "ingested_at": f"coalesce({optional_col(raw, 'ingested_at')}, current_timestamp())",
+        "source_file": f"coalesce({optional_col(raw, 'source_file')}, '{UNKNOWN_FILE}')",
+    }
+
+
 def to_canonical(raw: DataFrame, taxi_type: str) -> DataFrame:
     """Raw rows of a category as the canonical columns; what a source lacks is a typed NULL.
 
     A value its type cannot hold, such as a NaN count or malformed text in a
     column that drifted to text, becomes NULL and is left to the rules.
     """
-    values = {
-        **_MAPPINGS[taxi_type](raw),
-        "taxi_type": f"'{taxi_type}'",
-        "ingested_at": f"coalesce({optional_col(raw, 'ingested_at')}, current_timestamp())",
-        "source_file": f"coalesce({optional_col(raw, 'source_file')}, '{UNKNOWN_FILE}')",
-    }
+    values = expressions(raw, taxi_type)
     raw = in_utc(raw)
     return raw.selectExpr(
         *[f"try_cast({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in CANONICAL]

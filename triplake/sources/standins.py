@@ -154,3 +154,14 @@ def reissued(trips: DataFrame) -> DataFrame:
         }
     )
     return trips.unionByName(corrected)
+
+
+def unreadable(trips: DataFrame) -> DataFrame:
+    """Yellow rows whose fares and distances have become text, some of it no number."""
+    text = lambda name, when, said: F.when(when, said).otherwise(F.col(name).cast("string"))
+    return trips.withColumns(
+        {
+            "fare_amount": text("fare_amount", F.col("passenger_count") == 6, "n/a"),
+            "trip_distance": text("trip_distance", F.col("passenger_count") == 0, "far"),
+        }
+    )
