@@ -4,7 +4,8 @@ A document's set holds the hashes of its distinct word shingles. Two sets of n a
 they share T members. As in DivideSkip, a document's inverted lists are divided: the T - 1 longest are set aside, so a
 partner must occur at least once in one of the others, the short ones. The short lists are merged by Spark's sort-merge
 grouping (a list is a bucket of postings); the long ones are never scanned: a candidate's own sorted set is probed for
-them by binary search, and the search stops once the required overlap is reached or out of reach.
+them by binary search, and the search stops once the required overlap is reached or out of reach. Before sets are
+fetched, counts of members by class of hash rule out pairs that cannot reach it.
 
 All documents must divide their lists by one order of the shingles: those that a bounded sample of documents shows to be
 frequent come last, then the hash decides. The order affects speed alone; any order gives every link.
@@ -38,6 +39,9 @@ PERCENT = 90
 SAMPLE = 8_192
 FREQUENT = 4
 
+#: Classes of hashes whose counts rule out most pairs before sets are fetched; a power of two.
+CLASSES = 256
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -94,6 +98,19 @@ def enough(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return shared >= needed
 
 
+def spread(members: np.ndarray) -> bytes:
+    """How many members fall in each of CLASSES classes of the hash; one byte a class, or four where one is not enough."""
+    counts = np.bincount(members & (CLASSES - 1), minlength=CLASSES)
+    return counts.astype(np.uint8 if counts.max() < 256 else np.uint32).tobytes()
+
+
+def may_reach(a: bytes, b: bytes, percent: int) -> bool:
+    """False only if sets spread like a and b can't be similar: no class shares more than its smaller count."""
+    x, y = (np.frombuffer(t, np.uint8 if len(t) == CLASSES else np.uint32).astype(np.int64) for t in (a, b))
+    shared = int(np.minimum(x, y).sum())
+    return 100 * shared >= percent * (int(x.sum()) + int(y.sum()) - shared)
+
+
 def frequent_shingles(docs: DataFrame, size: int) -> np.ndarray:
     """Sorted hashes of shingles that FREQUENT documents of a sample of about SAMPLE share; at most the sample's words."""
     n = docs.count()
@@ -122,20 +139,29 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
             rows = []
             for i, t in zip(b["_id"], b.text, strict=True):
                 s = shingles(t, size, known)
-                rows.append((i, len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, divided(s, frequent.value, percent) if len(s) else s))
-            yield pd.DataFrame(rows, columns=["_id", "n", "key", "short"])
+                rows.append((i, len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, divided(s, frequent.value, percent) if len(s) else s, spread(s) if len(s) else None))
+            yield pd.DataFrame(rows, columns=["_id", "n", "key", "short", "sig"])
 
-    sets = stored(texts.mapInPandas(summed, "_id long, n int, key binary, short array<long>"))
+    sets = stored(texts.mapInPandas(summed, "_id long, n int, key binary, short array<long>, sig binary"))
     # One row a set: its smallest document stands for it, and its lists are made once.
     of = lambda c: F.min_by(c, "_id").alias(c)
-    classes = sets.where("n > 0").groupBy("key").agg(F.min("_id").alias("_id"), F.count(F.lit(1)).cast("int").alias("times"), of("n"), of("short"))
-    own = stored(classes.select(F.xxhash64("key").alias("node"), "_id", "times", "n", "short"))
+    classes = sets.where("n > 0").groupBy("key").agg(F.min("_id").alias("_id"), F.count(F.lit(1)).cast("int").alias("times"), of("n"), of("short"), of("sig"))
+    own = stored(classes.select(F.xxhash64("key").alias("node"), "_id", "times", "n", "short", "sig"))
     postings = own.select(F.explode("short").alias("bucket"), "node", (-F.col("times")).alias("rank"), F.col("n").alias("info"))
 
     def fits(a: str, b: str) -> Column:
         return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
+    def likely(pairs: DataFrame) -> DataFrame:
+        def kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                yield b.loc[[may_reach(x, y, percent) for x, y in zip(b.sa, b.sb, strict=True)], ["a", "b"]]
+
+        side = lambda c: own.select(F.col("node").alias(c), F.col("sig").alias(f"s{c}"))
+        return stored(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInPandas(kept, "a long, b long"))
+
     def verify(pairs: DataFrame) -> DataFrame:
+        pairs = likely(pairs)
         nodes = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(own.select("node", "_id"), "node"))
 
         def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
