@@ -8,6 +8,8 @@ more tightly; and again while that helps. A bin's pattern is used as often as th
 few patterns. Pieces then find their places by their rank among the pieces of their length: ranks come from counts of
 hashed shares of each length, so that a length that many pieces have is ranked by many tasks.
 
+A special token's string in a text is that token, as tokenizers has it by default.
+
 Defined results: null and empty texts are one piece of the end token; repeated rows are packed each for itself (they
 are told apart by their number among equals); rows with a null id too; other columns play no part; an empty table gives
 an empty result.
@@ -19,7 +21,7 @@ import base64
 import bisect
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
@@ -38,6 +40,9 @@ SHARES = 64
 #: The piece splitting of the vocabulary's public definition (fixed value).
 SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 
+#: The vocabulary's one special token and its id (fixed value of its public definition).
+SPECIAL = {"<|endoftext|>": 50256}
+
 
 @lru_cache(maxsize=4)
 def encoder(ranks_path: str):
@@ -46,7 +51,7 @@ def encoder(ranks_path: str):
 
     with open(ranks_path, "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-    return tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -61,7 +66,7 @@ def pieces(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY, with_ids:
     """doc_id, piece, start, length, ids_crc32 (and token_ids) of every document."""
 
     def tokenised(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(ranks_path).encode_ordinary
+        encode = partial(encoder(ranks_path).encode, allowed_special="all")
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.doc_id, batch.text, strict=True):
