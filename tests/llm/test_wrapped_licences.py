@@ -1,0 +1,78 @@
+"""Licence texts in their usual, hard-wrapped form."""
+
+import pytest
+
+from triplake.llm import licenses
+
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.
+"""
+
+BSD = """Copyright (c) 2020, Some One
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+
+GPL = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+"""
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+"""
+
+WANT = {
+    "MIT": (MIT, ["mit-grant", "mit-condition", "mit-disclaimer"]),
+    "BSD": (BSD, ["bsd-grant", "bsd-disclaimer"]),
+    "GPL": (GPL, ["gpl-grant", "gpl-warranty"]),
+    "Apache-2.0": (APACHE, ["apache-2.0-grant", "apache-compliance", "apache-copy", "as-is"]),
+}
+
+
+@pytest.mark.parametrize("before,end", [("", "\n"), (" * ", "\n"), ("# ", "\n"), ("// ", "\n"), ("", "\r\n")])
+def test_wrapped_texts_have_their_licences(spark, before, end):
+    rows = [(name, "".join(before + line + end for line in text.splitlines())) for name, (text, _) in WANT.items()]
+    got = {r.name: r for r in licenses.scan(spark.createDataFrame(rows, "name string, text string")).collect()}
+    assert {n: [x.id for x in r._sentences] for n, r in got.items()} == {n: ids for n, (_, ids) in WANT.items()}
+    assert {n: r._licences for n, r in got.items()} == {n: [n] for n in WANT}
+
+
+def test_sentences_end_at_full_stops_and_blank_lines(spark):
+    texts = ["All rights\nreserved", "All rights; reserved", "All rights.\nreserved", "All rights\n\nreserved", "All rights\n * \nreserved", "All rights?! reserved", "x;\n\nAll rights reserved...\n\nall rights\nreserved"]
+    got = [[tuple(x) for x in r._sentences] for r in licenses.scan(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)).collect()]
+    assert got == [[(0, "all-rights")], [(0, "all-rights")], [], [], [], [], [(2, "all-rights"), (4, "all-rights")]]

@@ -1,8 +1,11 @@
 """Licence scans by sentence rules: sentences to known sentence identifiers, identifier sequences to ordered rules.
 
-Texts are cut into sentences at line breaks and at `.`, `;`, `!` or `?` before white space, and normalised (lower case,
-anything but letters, digits and dots before digits is one space). A known sentence is a pattern of whole normalised
-sentences, each with an identifier; a sentence may have one identifier, that of the first pattern it fits. The sequence
+Texts are cut into fragments at line breaks and at `.`, `;`, `!` or `?` before white space, and normalised (lower case,
+anything but letters, digits and dots before digits is one space, and so are comment marks). A known sentence is a
+pattern of one normalised fragment or of several that follow each other, as in hard-wrapped texts: sentences go on over
+single line breaks and `;`, never over `.`, `!`, `?` or a line without letters and digits. A sentence has the number of
+its first fragment and one identifier, that of the first pattern it fits. The SQL oracle knows sentences of one fragment
+only; on texts whose known sentences are not wrapped both agree. The sequence
 of a text's identifiers is matched against the rules: a rule is a licence and an ordered list of identifiers that must
 stand next to each other in the sequence. Rules are tried in order, longer ones first by convention; the places of a
 matched rule are used up, so that a short rule does not report what a longer one has explained.
@@ -13,6 +16,7 @@ results; other columns pass through untouched.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -60,13 +64,18 @@ RULES = (
     ("proprietary", ("all-rights",)),
 )
 
-#: Words of which every known sentence has one; other sentences are not normalised. Fixed values.
+#: Words of which every known sentence has one; other texts are not normalised. Fixed values.
 HINTS = r"(?i)licen[sc]e|permission|software|program|redistribution|reserved"
 
 SPLIT = r"\n|[.;!?]+(?:\s|\z)"
 NOISE = r"[^\p{L}\p{N}.]+"
 STOP = r"\.(\P{N}|\z)"
 
+#: Where no sentence goes on: the break before a line without letters and digits, and a sentence's end.
+BLANK = r"\n(?=[^\p{L}\p{N}\n]*\n)"
+FULL_STOP = r"(?<![.;!?]);*+[.!?][.;!?]*+(\s|\z)"
+MARK = "\x01"
+
 
 @dataclass(frozen=True)
 class Rulebook:
@@ -80,16 +89,26 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(words, " +", " "))
 
 
-def sentence_ids(text: Column, book: Rulebook = Rulebook()) -> Column:
-    """array<struct<pos, id>>: number and identifier of every known sentence of the text."""
+def wrapped(pattern: str) -> str:
+    """pattern over lines of fragments, each behind its number and a bar; a space may be the start of the next fragment."""
+    return re.sub(" ", r"(?: |\\n[0-9]+\\|)", pattern.replace(".*", r"[^\n#]*"))
 
-    def known(s: Column) -> Column:
-        return let(normalised(s), lambda n: F.coalesce(*(F.when(n.rlike(f"^(?:{pattern})$"), F.lit(name)) for name, pattern in book.sentences)))
 
-    # Only sentences with a hint are looked at closely; they keep their numbers among all.
-    parts = F.transform(F.split(text, SPLIT), lambda s, i: F.struct(i.alias("pos"), s.alias("s")))
-    hinted = F.filter(parts, lambda p: p["s"].rlike(book.hints))
-    named = F.transform(hinted, lambda p: F.struct(p["pos"], known(p["s"]).alias("id")))
+def sentence_ids(text: Column, book: Rulebook = Rulebook()) -> Column:
+    """array<struct<pos, id>>: number of the first fragment and identifier of every known sentence of the text."""
+
+    def known(n: Column) -> Column:
+        return F.coalesce(*(F.when(n.rlike(f"^(?:{pattern})$"), F.lit(name)) for name, pattern in book.sentences))
+
+    # Marks add no fragment: numbers are those of the plain split.
+    marked = F.regexp_replace(F.regexp_replace(F.translate(text, MARK, " "), BLANK, "\n" + MARK), FULL_STOP, MARK + ";$1")
+    parts = F.transform(F.split(marked, SPLIT), lambda s, i: F.struct(i.alias("pos"), normalised(s).alias("n"), F.when(F.contains(s, F.lit(MARK)), "#").otherwise("").alias("end")))
+    parts = F.filter(parts, lambda p: (p["n"] != "") | (p["end"] != ""))
+    lines = F.array_join(F.transform(parts, lambda p: F.concat(p["pos"].cast("string"), F.lit("|"), p["n"], p["end"])), "\n")
+    fits = "(?m)^[0-9]+\\|(?:" + "|".join(wrapped(pattern) for _, pattern in book.sentences) + ")(?=#?$)"
+    found = F.regexp_extract_all(lines, F.lit(fits), F.lit(0))
+    words = lambda m: F.regexp_replace(m, r"(^|\n)[0-9]+\|", " ")
+    named = F.transform(found, lambda m: F.struct(F.substring_index(m, "|", 1).cast("int").alias("pos"), let(F.trim(words(m)), known).alias("id")))
     return F.when(text.rlike(book.hints), F.filter(named, lambda p: p["id"].isNotNull())).otherwise(F.expr("cast(array() as array<struct<pos:int,id:string>>)"))
 
 
