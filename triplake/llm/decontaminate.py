@@ -4,7 +4,12 @@ A random walk (CGK) copies a string's characters to an output and steps on or wa
 place and character; small edit distance becomes small Hamming distance. A repetition of the LSH samples places of the
 output; equal samples make a candidate. Windows begin at words, in documents and in items alike, and are as long as the
 item; sampled places lie in the part of the walk that the shortest items cover, so one walk from a word serves items of
-all lengths. An item has a window at each of its words, so an edit spoils only the windows it falls in.
+all lengths. An item has a window at each of its words, so an edit spoils only the windows it falls in. How many
+repetitions an item takes part in is derived from `target_recall`: as many as find that share of copies of items of its
+length with scattered edits at the largest distance allowed (tried on a sample of the block's items).
+
+Items without a window, and lengths that MOST_REPETITIONS do not suffice for, are found by pigeonhole: of one piece
+more than the edits allowed, one is left as it is. Every place that holds such a piece is a candidate.
 
 A candidate is verified exactly: the least edit distance between the item and any substring of the document around
 it, by a bit-parallel dynamic programme. A document holds an item if that distance is at most (1 - similarity) times
@@ -12,7 +17,7 @@ the item's length. Texts are compared in lower case with white space collapsed.
 
 Items are searched for in blocks of at most BLOCK: a block's tables have a fixed bound and go to every task; each block
 reads the documents once. Defined results: null and empty texts hold nothing; null and empty items are held by nothing;
-items shorter than a walk needs are found only word for word; repeated items and documents each give their rows; other
+items too short for an edit (under 5 characters at 0.8) are not found inside longer words; repeated items and documents each give their rows; other
 columns pass through untouched.
 """
 
@@ -26,16 +31,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SIMILARITY = 0.8
-REPETITIONS = 2
+TARGET_RECALL = 0.9
+MOST_REPETITIONS = 48
 STEPS = 40
 SAMPLED = 10
 
 #: Sampled places after which windows without a partner so far are given up.
 FIRST = 6
 
-#: Windows of an item that must be found around one place, unless the item has few.
-WINDOWS = 2
-FEW = 6
+#: Edited copies tried for each class of lengths, and the width and number of the classes.
+TRIED = 100
+CLASS = 20
+LAST_CLASS = 20
 
 #: Items in a block.
 BLOCK = 20_000
@@ -61,7 +68,7 @@ def word_starts(c: np.ndarray) -> np.ndarray:
 
 
 class Walks:
-    def __init__(self, repetitions: int = REPETITIONS, seed: int = 7):
+    def __init__(self, repetitions: int = MOST_REPETITIONS, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.bits = rng.integers(0, 2, (repetitions, STEPS, 256), dtype=np.uint8)
         width = STEPS // SAMPLED
@@ -115,68 +122,131 @@ def infix_distance(item: str, text: str, most: int) -> tuple[int, int]:
     return best, end
 
 
+def scattered(text: str, edits: int, rng: np.random.Generator) -> str:
+    """text with so many characters replaced, left out or put in at scattered places."""
+    out = list(text)
+    for at in sorted(rng.choice(len(out), edits, replace=False).tolist(), reverse=True):
+        kind, other = rng.integers(3), text[rng.integers(len(text))]
+        out[at : at + 1] = [[other], [], [other, out[at]]][kind]
+    return normal("".join(out))
+
+
+def windows(texts: list[str], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' codes in a row, and number, place in the text and place in the row of windows with `least` characters."""
+    pad = np.zeros(STEPS, np.uint8)
+    owner, offset, parts, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], 0
+    begins = [np.zeros(0, np.int64)]
+    for k, text in enumerate(texts):
+        c = codes(text)
+        starts = word_starts(c)
+        starts = starts[starts <= len(c) - least]
+        owner.append(np.full(len(starts), k))
+        offset.append(starts)
+        begins.append(starts + at)
+        parts += [c, pad]
+        at += len(c) + STEPS
+    return np.concatenate([*parts, pad]), np.concatenate(owner), np.concatenate(offset), np.concatenate(begins)
+
+
+def needed(walks: Walks, texts: list[str], similarity: float, target_recall: float) -> int:
+    """Repetitions that find target_recall of edited copies of texts; one more than there are if all are too few."""
+    rng = np.random.default_rng(11)
+    tried = [texts[k % len(texts)] for k in range(TRIED)]
+    edited = [scattered(t, int((1 - similarity) * len(t) + 1e-9), rng) for t in tried]
+    whole, owner, _, begins = windows(tried, STEPS)
+    other, other_owner, _, other_begins = windows(edited, 1)
+    hit = np.zeros(TRIED, bool)
+    mixed = lambda key, n: key ^ (n.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    for r in range(len(walks.places)):
+        mine = mixed(walks.keys(whole, begins, r)[2], owner)
+        hit[other_owner[np.isin(mixed(walks.keys(other, other_begins, r)[2], other_owner), mine)]] = True
+        if hit.mean() >= target_recall:
+            return r + 1
+    return len(walks.places) + 1
+
+
 class Items:
     """A block of items, ready to be searched for."""
 
-    def __init__(self, ids: list, texts: list[str], similarity: float = SIMILARITY, repetitions: int = REPETITIONS):
-        self.similarity, self.walks = similarity, Walks(repetitions)
+    def __init__(self, ids: list, texts: list[str], similarity: float = SIMILARITY, target_recall: float = TARGET_RECALL):
+        self.similarity, self.walks = similarity, Walks()
         self.items = [(i, n) for i, n in ((i, normal(t)) for i, t in zip(ids, texts, strict=True)) if n]
-        pad = np.zeros(STEPS, np.uint8)
-        self.brief = []
-        owner, offset, parts, at = [], [], [], 0
-        for k, (_, text) in enumerate(self.items):
-            c = codes(text)
-            starts = word_starts(c)
-            starts = starts[starts <= len(c) - STEPS]
-            if not len(starts):
-                self.brief.append(k)
-                continue
-            owner += [k] * len(starts)
-            offset += starts.tolist()
-            parts.append((c, starts + at))
-            at += len(c)
-        whole = np.concatenate([*(c for c, _ in parts), pad]) if parts else pad
-        starts = np.concatenate([s for _, s in parts]) if parts else np.zeros(0, np.int64)
-        self.owner, self.offset = np.array(owner, dtype=np.int64), np.array(offset, dtype=np.int64)
+        whole, self.owner, self.offset, starts = windows([t for _, t in self.items], STEPS)
+        classes: dict[int, list[int]] = {}
+        for k in np.unique(self.owner).tolist():
+            classes.setdefault(min(len(self.items[k][1]) // CLASS, LAST_CLASS), []).append(k)
+        #: Repetitions of each item; 0 for those found by pigeonhole.
+        self.repetitions = np.zeros(len(self.items), np.int64)
+        for members in classes.values():
+            n = needed(self.walks, [self.items[k][1] for k in members], similarity, target_recall)
+            self.repetitions[members] = n if n <= MOST_REPETITIONS else 0
         self.tables = []
-        self.needed = np.where(np.bincount(self.owner, minlength=len(self.items)) <= FEW, 1, WINDOWS) if len(owner) else np.zeros(0, np.int64)
-        for r in range(repetitions):
-            _, first, key = self.walks.keys(whole, starts, r)
-            early, late = np.zeros(1 << 22, bool), np.zeros(1 << 22, bool)
-            early[self._short(first)] = True
-            late[self._short(key)] = True
+        for r in range(int(self.repetitions.max(initial=0))):
+            own = np.flatnonzero(self.repetitions[self.owner] > r)
+            _, first, key = self.walks.keys(whole, starts[own], r)
+            bits = min(22, max(12, (64 * len(key)).bit_length()))
+            early, late = np.zeros(1 << bits, bool), np.zeros(1 << bits, bool)
+            early[self._short(first, bits)] = True
+            late[self._short(key, bits)] = True
             order = np.argsort(key, kind="stable")
-            self.tables.append((early, late, key[order], order))
+            self.tables.append((bits, early, late, key[order], own[order]))
+        self._pieces()
+
+    def _pieces(self) -> None:
+        """For each length of pieces: a table of their hashes, the sorted pieces, their items and their places there."""
+        found: dict[int, list[tuple[int, int, int]]] = {}
+        for k in np.flatnonzero(self.repetitions == 0).tolist():
+            c = codes(self.items[k][1])
+            n = min(len(c), self._most(k) + 1)
+            width = len(c) // n
+            size = min(width, 8)
+            grams = self._grams(c, size)
+            found.setdefault(size, []).extend((int(grams[j * width]), k, j * width) for j in range(n))
+        self.pieces = {}
+        for size, rows in found.items():
+            rows.sort()
+            key = np.array([x for x, _, _ in rows], dtype=np.uint64)
+            table = np.zeros(1 << 20, bool)
+            table[self._short(key, 20)] = True
+            self.pieces[size] = (table, key, np.array([k for _, k, _ in rows]), np.array([at for _, _, at in rows]))
+
+    @staticmethod
+    def _grams(c: np.ndarray, size: int) -> np.ndarray:
+        out = np.zeros(max(0, len(c) - size + 1), np.uint64)
+        for j in range(size):
+            out = (out << np.uint64(8)) | c[j : j + len(out)]
+        return out
 
     @staticmethod
-    def _short(key: np.ndarray) -> np.ndarray:
-        return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)).astype(np.int64)
+    def _short(key: np.ndarray, bits: int) -> np.ndarray:
+        return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+
+    def _most(self, item: int) -> int:
+        return int((1 - self.similarity) * len(self.items[item][1]) + 1e-9)
 
     def candidates(self, c: np.ndarray) -> list[tuple[int, int]]:
-        """(item, about where in c it would begin) of items of which enough windows are found there."""
+        """(item, about where in c it would begin) of items of which a window or a piece is found there."""
         starts = word_starts(c)
         found = []
-        for r, (early, late, keys, order) in enumerate(self.tables):
-            if not len(keys):
-                continue
-            own, _, key = self.walks.keys(c, starts, r, lambda first, early=early: early[self._short(first)])
-            likely = late[self._short(key)]
-            own, key = own[likely], key[likely]
+
+        def partners(own, key, keys):
             low = np.searchsorted(keys, key, "left")
             times = np.searchsorted(keys, key, "right") - low
-            at = np.repeat(own, times)
-            window = order[np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())]
-            found.append(np.stack([self.owner[window], at - self.offset[window], window]))
+            return np.repeat(own, times), np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
+
+        for r, (bits, early, late, keys, order) in enumerate(self.tables):
+            own, _, key = self.walks.keys(c, starts, r, lambda first, early=early, bits=bits: early[self._short(first, bits)])
+            likely = late[self._short(key, bits)]
+            at, n = partners(own[likely], key[likely], keys)
+            found.append(np.stack([self.owner[order[n]], (at - self.offset[order[n]]) // 32]))
+        for size, (table, keys, owner, offset) in self.pieces.items():
+            grams = self._grams(c, size)
+            own = np.flatnonzero(table[self._short(grams, 20)])
+            at, n = partners(own, grams[own], keys)
+            found.append(np.stack([owner[n], (at - offset[n]) // 32]))
         if not found:
             return []
-        item, begin, window = np.concatenate(found, axis=1)
-        likely = []
-        for shift in (0, 16):  # a place near the edge of one portion is inside one of the other
-            place = np.unique(np.stack([item, (begin + shift) // 32, window]), axis=1)[:2]
-            pair, times = np.unique(place, axis=1, return_counts=True)
-            pair = pair[:, times >= self.needed[pair[0]]]
-            likely.append(np.stack([pair[0], pair[1] * 32 - shift]))
-        return [(int(i), int(at)) for i, at in np.unique(np.concatenate(likely, axis=1), axis=1).T]
+        return [(int(i), int(at) * 32) for i, at in np.unique(np.concatenate(found, axis=1), axis=1).T]
 
     def search(self, texts: list[str | None]) -> list[dict[int, tuple[int, int]]]:
         """For each text {item: (distance, end of the match in the normalised text)}."""
@@ -198,45 +268,46 @@ class Items:
                     if 0 <= n < len(group):
                         self._verify(item, normed[group[n]], at - int(begins[n]), out[group[n]])
             group, size = [], 0
-        for k in self.brief:
-            text = f" {self.items[k][1]} "
-            for n, t in enumerate(normed):
-                if (at := f" {t} ".find(text)) >= 0:
-                    out[n][k] = (0, at + len(text) - 2)
         return out
 
     def _verify(self, item: int, text: str, at: int, found: dict[int, tuple[int, int]]) -> None:
         wanted = self.items[item][1]
-        most = int((1 - self.similarity) * len(wanted) + 1e-9)
+        most = self._most(item)
         if item in found and found[item][0] == 0:
             return
         low = max(0, at - most)
         near = text[low : max(0, at + 32 + len(wanted) + most)]
         place = near.find(wanted)
+        if not most:  # too short for an edit: not inside a longer word
+            beside = lambda n: 0 <= n < len(text) and text[n].isalnum()
+            while place >= 0 and (beside(low + place - 1) or beside(low + place + len(wanted))):
+                place = near.find(wanted, place + 1)
+            if place < 0:
+                return
         distance, end = (0, place + len(wanted)) if place >= 0 else infix_distance(wanted, near, most)
         if distance <= most and (item not in found or distance < found[item][0]):
             found[item] = (distance, low + end)
 
 
-def blocks(items: DataFrame, similarity: float = SIMILARITY, repetitions: int = REPETITIONS) -> Iterator[Items]:
+def blocks(items: DataFrame, similarity: float = SIMILARITY, target_recall: float = TARGET_RECALL) -> Iterator[Items]:
     """The items (item_id, text), BLOCK at a time."""
     ids, texts = [], []
     for row in items.select("item_id", "text").orderBy("item_id", "text").toLocalIterator():
         ids.append(row.item_id)
         texts.append(row.text)
         if len(ids) == BLOCK:
-            yield Items(ids, texts, similarity, repetitions)
+            yield Items(ids, texts, similarity, target_recall)
             ids, texts = [], []
     if ids:
-        yield Items(ids, texts, similarity, repetitions)
+        yield Items(ids, texts, similarity, target_recall)
 
 
-def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, repetitions: int = REPETITIONS) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, target_recall: float = TARGET_RECALL) -> DataFrame:
     """doc_id, item_id, distance, similarity, end: each item a document holds, with its best match."""
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, distance int, similarity double, end int"
     out = spark.createDataFrame([], schema)
-    for block in blocks(items, similarity, repetitions):
+    for block in blocks(items, similarity, target_recall):
         shared = spark.sparkContext.broadcast(block)
 
         def found(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
@@ -250,10 +321,10 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, rep
     return out
 
 
-def clean(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, repetitions: int = REPETITIONS) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, target_recall: float = TARGET_RECALL) -> DataFrame:
     """The documents that hold no item."""
     spark = docs.sparkSession
-    for block in blocks(items, similarity, repetitions):
+    for block in blocks(items, similarity, target_recall):
         shared = spark.sparkContext.broadcast(block)
 
         docs = docs.withColumn("_holds", _holds(shared)("text")).where("NOT _holds").drop("_holds")
