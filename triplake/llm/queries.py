@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triplake.llm import block_naming, chat, language, licenses, quality, toxicity
+from triplake.llm import block_naming, chat, collocations, language, licenses, quality, toxicity
 from triplake.llm.decontaminate import leaks
 from triplake.llm.fingerprint import fingerprint_changes
 from triplake.llm.line_dedup import dedup_lines
@@ -100,15 +100,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, F.col("_language.lang").alias("lang_pred"), F.col("_language.score").alias("score"), F.col("_language.accepted").alias("accepted"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of each language that say more than their parts."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one of its equals that stays."""
     return block_naming.exact_groups(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_line_dedup, op2_document_fingerprints, op3_license_scan, op4_chat_formatting, op5_benchmark_decontamination, op6_quality_classifier, op7_best_fit_packing, op8_ngram_jaccard_join, op9_toxicity, op10_language_id, op12_exact_dedup]
+    found = [op1_line_dedup, op2_document_fingerprints, op3_license_scan, op4_chat_formatting, op5_benchmark_decontamination, op6_quality_classifier, op7_best_fit_packing, op8_ngram_jaccard_join, op9_toxicity, op10_language_id, op11_phrase_collocations, op12_exact_dedup]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_license_scan": licenses.oracle(), "op12_exact_dedup": block_naming.oracle()}
+    return {"op3_license_scan": licenses.oracle(), "op11_phrase_collocations": collocations.oracle(), "op12_exact_dedup": block_naming.oracle()}
