@@ -7,16 +7,17 @@ its contiguous occurrences within pieces, per language. All phrases of up to LON
    all of whose pairs are frequent. A lower limit than the sample's share of `least` makes a phrase a proposal.
 2. The full pass counts, exactly, every phrase whose first and last words less one are both proposed: these are the proposals
    themselves and their negative border, so far as it occurs at all.
-3. A phrase of the border that turns out frequent is a failure of the sample: its extensions were not counted. Failures join
-   the proposals, and a further pass counts the phrases that this adds to the border. Passes go on until none fails; then
-   every frequent phrase has been counted, whatever the sample was. The sample changes the work, never the result.
+3. A phrase of the border that turns out frequent is a failure of the sample: its extensions were not counted. Each longer
+   phrase whose two halves (all but its last, all but its first word) are frequent and one of them a failure is counted in a
+   further pass; those of them that are frequent are failures again. Passes go on until nothing is left to count; then every
+   frequent phrase has been counted, whatever the sample was. The sample changes the work, never the result.
 
 Tasks count their own texts first: words become numbers, a phrase of k words is the pair (number of its first k - 1 words,
 last word), so numpy counts pairs of integers without any collision, and only distinct phrases leave a task. Spark adds up
 counts by the phrase's text. Proposals reach the tasks as one bit set of a fixed 8 MiB, filled by their hashes: a false
 positive counts a phrase in vain, and with very many proposals the filter lets more through, never less.
 
-Memory of a task is bounded by FLUSH words (and by the longest piece); no language or phrase gathers in one task, and the
+Memory of a task is bounded by FLUSH characters (and by the longest text); no language or phrase gathers in one task, and the
 first rows of a language are chosen in two steps over SALTS shares.
 
 Defined results: a null text is empty; a null lang is `und`; rows that repeat are counted as often as they are there; ties are
@@ -34,7 +35,6 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from triplake.llm.shared import stored
@@ -47,20 +47,23 @@ TOP = 2000
 SAMPLE = 8
 LOWERED = 0.4
 
-#: Words that a task counts at a time, and characters whose words are in memory as texts.
-FLUSH = 3_000_000
-CHUNK = 1 << 21
+#: Bytes of text whose words a task counts at a time.
+FLUSH = 1 << 24
 
 #: Bits of the proposals' set and hashes of each.
 BITS = 1 << 26
 HASHES = 4
 
+#: Bytes of a page of the set, the unit in which it is put together.
+PAGE = 1 << 14
+_SHIFT = np.uint64(64 - (BITS.bit_length() - 1))
+
 #: Shares of a language in which its first rows are chosen before they are chosen of all.
 SALTS = 64
 
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 _TO_PIECES = bytes.maketrans(PIECE_ENDS + b"\t", b"\n" * len(PIECE_ENDS) + b" ")
-_BREAK, _NOTHING = -1, -2
+_BREAK = -1
 
 COUNTS = "lang string, words int, phrase string, n long"
 
@@ -75,8 +78,20 @@ def _extended(h: np.ndarray, last: np.ndarray) -> np.ndarray:
     return _mixed(h * np.uint64(0xBF58476D1CE4E5B9) + last)
 
 
-def _word_hash(lang: str, word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word, seed=xxhash.xxh32_intdigest(lang.encode("utf-8", "replace")))
+def _seed(lang: str) -> int:
+    return xxhash.xxh3_64_intdigest(lang.encode("utf-8", "replace"))
+
+
+def word_hashes(words: pa.Array, seed: int | np.ndarray) -> np.ndarray:
+    """64-bit hashes of words (large_binary), by powers of a fixed number over their bytes. Only a filter relies on them."""
+    at = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[at[0] : at[-1]].astype(np.uint64) + np.uint64(1)
+    sizes = np.diff(at)
+    power = np.ones(max(int(sizes.max(initial=0)), 1), np.uint64)
+    power[1:] = np.uint64(0x9E3779B97F4A7C15)
+    data *= np.cumprod(power, dtype=np.uint64)[np.arange(len(data)) - np.repeat(at[:-1] - at[0], sizes)]
+    sums = np.append(np.uint64(0), np.cumsum(data, dtype=np.uint64))
+    return _mixed((sums[at[1:] - at[0]] - sums[at[:-1] - at[0]]) ^ np.asarray(seed, np.uint64))
 
 
 class Proposals:
@@ -89,174 +104,198 @@ class Proposals:
     def places(h: np.ndarray) -> Iterator[np.ndarray]:
         step = _mixed(h) | np.uint64(1)
         for k in range(HASHES):
-            yield (h + np.uint64(k) * step) >> np.uint64(64 - (BITS.bit_length() - 1))
+            yield (h + np.uint64(k) * step) >> _SHIFT
 
     def holds(self, h: np.ndarray) -> np.ndarray:
-        out = np.ones(len(h), bool)
-        for p in self.places(h):
-            out &= (self.bits[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        out = np.zeros(len(h), bool)
+        left = np.arange(len(h))
+        step = _mixed(h) | np.uint64(1)
+        for k in range(HASHES):
+            p = (h[left] + np.uint64(k) * step[left]) >> _SHIFT
+            left = left[(self.bits[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+        out[left] = True
         return out
 
 
-class Words(dict):
-    """word -> number in order of first sight; _BREAK and _NOTHING stand for piece ends and for what repeated spaces leave."""
-
-    def __init__(self):
-        super().__init__({b"\n": _BREAK, b"": _NOTHING})
-        self.seen: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self.seen)
-        self.seen.append(word)
-        return number
-
-
-def chunks(text: str | None) -> Iterator[bytes]:
-    """The lower-cased text in runs of whole pieces, of about CHUNK bytes where pieces allow."""
-    data = (text or "").encode("utf-8", "replace").lower().translate(_TO_PIECES)
-    at = 0
-    while len(data) - at > CHUNK:
-        end = data.find(b"\n", at + CHUNK)
-        if end < 0:
-            break
-        yield data[at:end]
-        at = end + 1
-    yield data[at:]
-
-
 class Part:
-    """Words of texts of one language, as numbers."""
+    """Texts of one language, and their words as numbers."""
 
     def __init__(self):
-        self.words, self.found, self.size = Words(), [], 0
-        self.waiting, self.bytes = [], 0
-
-    def add(self, data: bytes) -> int:
-        """Take in whole pieces; the words that this made ready to count."""
-        self.waiting.append(data)
-        self.bytes += len(data)
-        return self.close() if self.bytes >= CHUNK else 0
-
-    def close(self) -> int:
-        tokens = b"\n".join(self.waiting).replace(b"\n", b" \n ").split(b" ")
-        ids = np.fromiter(map(self.words.__getitem__, tokens), np.int32, len(tokens))
-        ids = np.append(ids[ids != _NOTHING], np.int32(_BREAK))
-        self.waiting, self.bytes = [], 0
-        self.found.append(ids)
-        self.size += len(ids)
-        return len(ids)
+        self.texts: list[bytes] = []
+
+    def add(self, text: str | None) -> int:
+        """Bytes added."""
+        data = (text or "").encode("utf-8", "replace").lower().translate(_TO_PIECES)
+        self.texts.append(data)
+        return len(data)
+
+    def words(self) -> tuple[np.ndarray, pa.Array]:
+        """The number of every word in order, _BREAK between pieces, and the distinct words by number."""
+        data = b"\n".join(self.texts).replace(b"\n", b" \n ") + b" "
+        # A token is a word with the space after it; a space alone is none, a line end is the end of a piece.
+        ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 32) + 1
+        tokens = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.append(0, ends)), pa.py_buffer(data)])
+        coded = tokens.dictionary_encode()
+        ids, known = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+        word = pc.binary_slice(known, 0, -1)
+        size = pc.binary_length(word).to_numpy()
+        plain = (size > 0) & ~pc.equal(word, pa.scalar(b"\n", word.type)).to_numpy(zero_copy_only=False)
+        number = np.where(plain, np.cumsum(plain) - 1, _BREAK).astype(np.int32)
+        ids = number[ids[(size > 0)[ids]]]
+        return np.append(ids, np.int32(_BREAK)), word.filter(pa.array(plain))
 
 
 def _spelled(prefix: pa.Array, last: pa.Array) -> pa.Array:
     return pc.binary_join_element_wise(prefix, last, pa.scalar(b" ", prefix.type))
 
 
-def counted(part: Part, lang: str, sizes: range, new: Proposals | None, old: Proposals | None) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """(k, phrases, counts) of the sizes: all words for k = 1; longer ones whose first and last k - 1 words are both in new.
+def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order that sorts key, starts of the runs of equal values in it, and their lengths."""
+    order = np.argsort(key)
+    key = key[order]
+    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return order, starts, np.diff(np.append(starts, len(key)))
+
 
-    Those that are both in old as well were counted before and are left out. (0, [""], [all words]) comes with k = 1.
+def bordering(part: Part, lang: str, sizes: range, among: Proposals | None) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """(k, phrases, counts) of the sizes: all words for k = 1; longer ones whose first and last k - 1 words are both in among.
+
+    (0, [""], [all words]) comes with k = 1.
     """
-    ids = np.concatenate(part.found)
-    n = len(part.words.seen)
-    texts = pa.array(part.words.seen, pa.large_binary())
+    ids, words = part.words()
     if 1 in sizes:
         yield 0, pa.array([b""], pa.large_binary()), np.array([int((ids >= 0).sum())])
-        yield 1, texts, np.bincount(ids[ids >= 0], minlength=n)
-    hashes = np.fromiter((_word_hash(lang, w) for w in part.words.seen), np.uint64, n)
-    word_hashes, word_texts, names = hashes, texts, ids
+        yield 1, words, np.bincount(ids[ids >= 0], minlength=len(words))
+    if max(sizes) < 2:
+        return
+    own = hashes = word_hashes(words, _seed(lang))
+    texts, names = words, ids
     for k in range(2, max(sizes) + 1):
-        live = new.holds(hashes)
-        known = old.holds(hashes) if old is not None else None
         # One place more, for names below zero.
-        names = np.where(np.append(live, False)[names], names, _BREAK)
+        names = np.where(np.append(among.holds(hashes), False)[names], names, _BREAK)
         at = np.flatnonzero((names[:-1] >= 0) & (names[1:] >= 0))
         if not len(at):
             return
         key = names[at].astype(np.int64) << 32 | ids[at + k - 1]
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        counts = np.diff(np.append(starts, len(key)))
-        prefix, last = (key[starts] >> 32), (key[starts] & 0xFFFFFFFF)
-        suffix = names[at[order[starts]] + 1]
-        following = np.full(len(names), _BREAK, np.int32)
-        following[at[order]] = np.repeat(np.arange(len(starts), dtype=np.int32), counts)
-        texts = _spelled(texts.take(pa.array(prefix)), word_texts.take(pa.array(last)))
+        order, starts, counts = _runs(key)
+        first = key[order[starts]]
+        prefix, last = first >> 32, first & 0xFFFFFFFF
+        texts = _spelled(texts.take(pa.array(prefix)), words.take(pa.array(last)))
         if k in sizes:
-            fresh = np.ones(len(starts), bool) if known is None else ~(known[prefix] & known[suffix])
-            yield k, texts.filter(pa.array(fresh)), counts[fresh]
-        hashes, names = _extended(hashes[prefix], word_hashes[last]), following
+            yield k, texts, counts
+        if k < max(sizes):
+            hashes, names = _extended(hashes[prefix], own[last]), np.full(len(names), _BREAK, np.int32)
+            names[at[order]] = np.repeat(np.arange(len(starts), dtype=np.int32), counts)
 
 
-def count_phrases(docs: DataFrame, sizes: range, new: Proposals | None, old: Proposals | None = None) -> DataFrame:
-    """lang, words, phrase, n: exact counts over docs(lang, text) of what counted() selects; words = 0 has a language's n."""
-    share = docs.sparkSession.sparkContext.broadcast((new and new.bits, old and old.bits))
+def wanted(part: Part, lang: str, sizes: range, these: Proposals) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """(k, phrases, counts) of the phrases in these."""
+    ids, words = part.words()
+    own = np.append(word_hashes(words, _seed(lang)), np.uint64(0))
+    hashes, whole = own[ids], ids >= 0
+    for k in range(2, max(sizes) + 1):
+        hashes, whole = _extended(hashes[:-1], own[ids[k - 1 :]]), whole[:-1] & (ids[k - 1 :] >= 0)
+        at = np.flatnonzero(whole)
+        at = at[these.holds(hashes[at])]
+        if k not in sizes or not len(at):
+            continue
+        names, texts = ids[at], words
+        for step in range(1, k):
+            key = names.astype(np.int64) << 32 | ids[at + step]
+            order, starts, counts = _runs(key)
+            first = key[order[starts]]
+            texts = _spelled(texts.take(pa.array(first >> 32)), words.take(pa.array(first & 0xFFFFFFFF)))
+            names = np.empty(len(at), np.int32)
+            names[order] = np.repeat(np.arange(len(starts), dtype=np.int32), counts)
+        yield k, texts, counts
+
+
+def count_phrases(docs: DataFrame, sizes: range, by: Proposals | None, select=bordering) -> DataFrame:
+    """lang, words, phrase, n: exact counts over docs(lang, text) of the phrases that select takes by the proposals."""
+    share = docs.sparkSession.sparkContext.broadcast(by.bits if by is not None else None)
+
+    def flush(state: dict[str, Part]) -> Iterator[pa.RecordBatch]:
+        among = Proposals(share.value) if share.value is not None else None
+        for lang, part in state.items():
+            for k, phrases, counts in select(part, lang, sizes, among):
+                for lo in range(0, len(phrases), 100_000):
+                    p, c = phrases[lo : lo + 100_000].cast(pa.large_string()).cast(pa.string()), counts[lo : lo + 100_000]
+                    yield pa.record_batch([pa.array([lang] * len(p), pa.string()), pa.array(np.full(len(p), k, np.int32)), p, pa.array(c.astype(np.int64))], names=["lang", "words", "phrase", "n"])
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = [Proposals(b) if b is not None else None for b in share.value]
         state: dict[str, Part] = {}
         ready = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for lang, part in state.items():
-                part.close()
-                for k, phrases, counts in counted(part, lang, sizes, *sets):
-                    phrases = phrases.cast(pa.large_string(), safe=False)
-                    for lo in range(0, len(phrases), 100_000):
-                        p, c = phrases[lo : lo + 100_000].cast(pa.string()), counts[lo : lo + 100_000]
-                        yield pa.record_batch([pa.array([lang] * len(p), pa.string()), pa.array(np.full(len(p), k, np.int32)), p, pa.array(c.astype(np.int64))], names=["lang", "words", "phrase", "n"])
-            state.clear()
-
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
-                part = state.setdefault(lang.as_py(), Part())
-                for data in chunks(text.as_py()):
-                    ready += part.add(data)
-                    if ready >= FLUSH:
-                        yield from flush()
-                        ready, part = 0, state.setdefault(lang.as_py(), Part())
-        yield from flush()
+                ready += state.setdefault(lang.as_py(), Part()).add(text.as_py())
+                if ready >= FLUSH:
+                    yield from flush(state)
+                    state, ready = {}, 0
+        yield from flush(state)
 
     found = docs.select("lang", "text").mapInArrow(parts, COUNTS)
     return found.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
 
 
-def phrase_hash(lang: str, phrase: str) -> int:
-    words = [np.array([_word_hash(lang, w)], np.uint64) for w in phrase.encode("utf-8", "replace").split(b" ")]
-    h = words[0]
-    for w in words[1:]:
-        h = _extended(h, w)
-    return int(h[0])
-
-
-@F.pandas_udf(T.LongType())
-def _hashes(lang: pd.Series, phrase: pd.Series) -> pd.Series:
-    return pd.Series([phrase_hash(x, p) for x, p in zip(lang, phrase, strict=True)], dtype="uint64").astype("int64")
+def phrase_hashes(lang: pd.Series, phrase: pd.Series) -> np.ndarray:
+    """The hashes that tasks give to phrases, from their texts."""
+    split = pc.split_pattern(pa.array(phrase.tolist(), pa.large_string()).cast(pa.large_binary()), b" ")
+    sizes = pc.list_value_length(split).to_numpy()
+    seeds = {x: _seed(x) for x in set(lang)}
+    seed = np.fromiter((seeds[x] for x in lang), np.uint64, len(lang))
+    words = split.flatten()
+    own = word_hashes(words if isinstance(words, pa.LargeBinaryArray) else words.cast(pa.large_binary()), np.repeat(seed, sizes))
+    at = np.append(0, np.cumsum(sizes))[:-1]
+    out = own[at]
+    for k in range(1, int(sizes.max(initial=0))):
+        longer = np.flatnonzero(sizes > k)
+        out[longer] = _extended(out[longer], own[at[longer] + k])
+    return out
 
 
 def proposed(found: DataFrame, before: Proposals | None = None) -> Proposals:
-    """before and the phrases of found. What comes to the driver is the set itself: at most BITS / 32 words of 32 bits."""
+    """before and the phrases of found. What comes to the driver is the set itself, in pages of PAGE bytes."""
 
     def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            all_places = np.concatenate([*Proposals.places(b.h.to_numpy().astype(np.uint64)), np.zeros(0, np.uint64)]).astype(np.int64)
-            yield pd.DataFrame({"word": all_places >> 5, "bits": np.int64(1) << (all_places & 31)})
+            if len(b):
+                p = np.concatenate(list(Proposals.places(phrase_hashes(b.lang, b.phrase)))).astype(np.int64)
+                yield pd.DataFrame({"word": p >> 6, "bits": np.uint64(1).astype(np.int64) << (p & 63)})
+
+    def page(rows: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(PAGE // 8, np.int64)
+        bits[rows.word.to_numpy() % (PAGE // 8)] = rows.bits.to_numpy()
+        return pd.DataFrame({"page": [int(rows.word.iloc[0]) // (PAGE // 8)], "bits": [bits.tobytes()]})
 
-    words = found.select(_hashes("lang", "phrase").alias("h")).mapInPandas(places, "word long, bits long")
-    rows = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
-    bits = np.zeros(BITS // 32, np.uint32) if before is None else before.bits.view(np.uint32).copy()
-    bits[rows.word.to_numpy(np.int64)] |= rows.bits.to_numpy(np.int64).astype(np.uint32)
-    return Proposals(bits.view(np.uint8))
+    words = found.select("lang", "phrase").mapInPandas(places, "word long, bits long")
+    words = words.groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    pages = words.groupBy(F.expr(f"word div {PAGE // 8}")).applyInPandas(page, "page long, bits binary")
+    bits = np.zeros(BITS // 8, np.uint8) if before is None else before.bits.copy()
+    for row in pages.toLocalIterator():
+        bits[row.page * PAGE : (row.page + 1) * PAGE] |= np.frombuffer(row.bits, np.uint8)
+    return Proposals(bits)
 
 
 def not_proposed(found: DataFrame, by: Proposals) -> DataFrame:
     share = found.sparkSession.sparkContext.broadcast(by.bits)
 
-    @F.pandas_udf(T.BooleanType())
-    def missing(h: pd.Series) -> pd.Series:
-        return pd.Series(~Proposals(share.value).holds(h.to_numpy().astype(np.uint64)))
+    def missing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                yield b[~Proposals(share.value).holds(phrase_hashes(b.lang, b.phrase))]
+
+    return found.mapInPandas(missing, COUNTS)
+
 
-    return found.where(missing(_hashes("lang", "phrase")))
+def extensions(found: DataFrame, failed: DataFrame) -> DataFrame:
+    """lang, phrase of the phrases one word longer whose two halves are in found and at least one of them in failed."""
+    halves = lambda df: df.where("words > 0").select("lang", "words", "phrase", F.split("phrase", " ", -1).alias("w"))
+    middle = lambda first: F.array_join(F.slice("w", 2 if first else 1, F.col("words") - 1), " ").alias("middle")
+    left = lambda df: halves(df).select("lang", "words", middle(True), F.col("phrase").alias("head"))
+    right = lambda df: halves(df).select("lang", "words", middle(False), F.element_at("w", -1).alias("last"))
+    on = ["lang", "words", "middle"]
+    both = left(failed).join(right(found), on).unionByName(left(found).join(right(failed), on))
+    return both.select("lang", F.concat_ws(" ", "head", "last").alias("phrase")).distinct()
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, sample: int = SAMPLE, lowered: float = LOWERED, passes: Callable[[int], None] = lambda n: None) -> DataFrame:
@@ -274,16 +313,21 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
             proposals = proposed(found, proposals)
     kept = (F.col("n") >= least) | (F.col("words") == 0)
     found = stored(count_phrases(docs, range(1, longest + 1), proposals).where(kept))
-    fresh = found
+    shorter = (F.col("words") > 0) & (F.col("words") < longest)
+    failed = stored(not_proposed(found.where(shorter), proposals))
     while True:
-        failed = stored(not_proposed(fresh.where((F.col("words") > 0) & (F.col("words") < longest)), proposals))
         n = failed.count()
         passes(n)
         if not n:
             return found
-        more = proposed(failed, proposals)
-        fresh = stored(count_phrases(docs, range(2, longest + 1), more, proposals).where(kept))
-        found, proposals = found.unionByName(fresh), more
+        more = stored(extensions(found.where(shorter), failed))
+        if not more.limit(1).count():
+            return found
+        counted = count_phrases(docs, range(2, longest + 1), proposed(more), wanted).where(kept)
+        # A false positive of the filter may have been counted before.
+        counted = stored(counted.join(found.where("words > 0").select("lang", "phrase"), ["lang", "phrase"], "left_anti").select("lang", "words", "phrase", "n"))
+        found = found.unionByName(counted)
+        failed = counted.where(shorter)
 
 
 def _cut(k: Column, words: Column) -> tuple[Column, Column]:
