@@ -7,10 +7,10 @@ its contiguous occurrences within pieces, per language. All phrases of up to LON
    all of whose pairs are frequent. A lower limit than the sample's share of `least` makes a phrase a proposal.
 2. The full pass counts, exactly, every phrase whose first and last words less one are both proposed: these are the proposals
    themselves and their negative border, so far as it occurs at all.
-3. A phrase of the border that turns out frequent is a failure of the sample: its extensions were not counted. Each longer
-   phrase whose two halves (all but its last, all but its first word) are frequent and one of them a failure is counted in a
-   further pass; those of them that are frequent are failures again. Passes go on until nothing is left to count; then every
-   frequent phrase has been counted, whatever the sample was. The sample changes the work, never the result.
+3. A phrase of the border that turns out frequent is a failure of the sample: its extensions were not counted. A further pass
+   counts every occurring phrase one word longer whose two halves (all but its last, all but its first word) are frequent and
+   one of them a failure; those of them that are frequent are failures again. Passes go on until there is no failure; then
+   every frequent phrase has been counted, whatever the sample was. The sample changes the work, never the result.
 
 Tasks count their own texts first: words become numbers, a phrase of k words is the pair (number of its first k - 1 words,
 last word), so numpy counts pairs of integers without any collision, and only distinct phrases leave a task. Spark adds up
@@ -45,7 +45,7 @@ TOP = 2000
 
 #: One document in so many is in the sample; a proposal occurs there at least this share of its expected number.
 SAMPLE = 8
-LOWERED = 0.4
+LOWERED = 0.6
 
 #: Bytes of text whose words a task counts at a time.
 FLUSH = 1 << 24
@@ -188,16 +188,24 @@ def bordering(part: Part, lang: str, sizes: range, among: Proposals | None) -> I
             names[at[order]] = np.repeat(np.arange(len(starts), dtype=np.int32), counts)
 
 
-def wanted(part: Part, lang: str, sizes: range, these: Proposals) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """(k, phrases, counts) of the phrases in these."""
+def extending(part: Part, lang: str, sizes: range, failed: Proposals, frequent: Proposals) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """(k, phrases, counts) of the phrases whose first and last k - 1 words are both in frequent and one of them in failed."""
     ids, words = part.words()
     own = np.append(word_hashes(words, _seed(lang)), np.uint64(0))
     hashes, whole = own[ids], ids >= 0
     for k in range(2, max(sizes) + 1):
-        hashes, whole = _extended(hashes[:-1], own[ids[k - 1 :]]), whole[:-1] & (ids[k - 1 :] >= 0)
         at = np.flatnonzero(whole)
-        at = at[these.holds(hashes[at])]
-        if k not in sizes or not len(at):
+        at = at[failed.holds(hashes[at])]
+        # Phrases that begin or end with a failure, within one piece, whose other half is frequent too.
+        begins = at[(at + 1 < len(whole))]
+        begins = begins[whole[begins + 1]]
+        begins = begins[frequent.holds(hashes[begins + 1])]
+        ends = at[at > 0] - 1
+        ends = ends[whole[ends]]
+        ends = ends[frequent.holds(hashes[ends])]
+        at = np.union1d(begins, ends)
+        hashes, whole = _extended(hashes[:-1], own[ids[k - 1 :]]), whole[:-1] & (ids[k - 1 :] >= 0)
+        if not len(at):
             continue
         names, texts = ids[at], words
         for step in range(1, k):
@@ -210,14 +218,14 @@ def wanted(part: Part, lang: str, sizes: range, these: Proposals) -> Iterator[tu
         yield k, texts, counts
 
 
-def count_phrases(docs: DataFrame, sizes: range, by: Proposals | None, select=bordering) -> DataFrame:
-    """lang, words, phrase, n: exact counts over docs(lang, text) of the phrases that select takes by the proposals."""
-    share = docs.sparkSession.sparkContext.broadcast(by.bits if by is not None else None)
+def count_phrases(docs: DataFrame, sizes: range, *by: Proposals | None, select=bordering) -> DataFrame:
+    """lang, words, phrase, n: exact counts over docs(lang, text) of the phrases that select takes by the sets."""
+    share = docs.sparkSession.sparkContext.broadcast([s.bits if s is not None else None for s in by])
 
     def flush(state: dict[str, Part]) -> Iterator[pa.RecordBatch]:
-        among = Proposals(share.value) if share.value is not None else None
+        sets = [Proposals(bits) if bits is not None else None for bits in share.value]
         for lang, part in state.items():
-            for k, phrases, counts in select(part, lang, sizes, among):
+            for k, phrases, counts in select(part, lang, sizes, *sets):
                 for lo in range(0, len(phrases), 100_000):
                     p, c = phrases[lo : lo + 100_000].cast(pa.large_string()).cast(pa.string()), counts[lo : lo + 100_000]
                     yield pa.record_batch([pa.array([lang] * len(p), pa.string()), pa.array(np.full(len(p), k, np.int32)), p, pa.array(c.astype(np.int64))], names=["lang", "words", "phrase", "n"])
@@ -287,17 +295,6 @@ def not_proposed(found: DataFrame, by: Proposals) -> DataFrame:
     return found.mapInPandas(missing, COUNTS)
 
 
-def extensions(found: DataFrame, failed: DataFrame) -> DataFrame:
-    """lang, phrase of the phrases one word longer whose two halves are in found and at least one of them in failed."""
-    halves = lambda df: df.where("words > 0").select("lang", "words", "phrase", F.split("phrase", " ", -1).alias("w"))
-    middle = lambda first: F.array_join(F.slice("w", 2 if first else 1, F.col("words") - 1), " ").alias("middle")
-    left = lambda df: halves(df).select("lang", "words", middle(True), F.col("phrase").alias("head"))
-    right = lambda df: halves(df).select("lang", "words", middle(False), F.element_at("w", -1).alias("last"))
-    on = ["lang", "words", "middle"]
-    both = left(failed).join(right(found), on).unionByName(left(found).join(right(failed), on))
-    return both.select("lang", F.concat_ws(" ", "head", "last").alias("phrase")).distinct()
-
-
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, sample: int = SAMPLE, lowered: float = LOWERED, passes: Callable[[int], None] = lambda n: None) -> DataFrame:
     """lang, words, phrase, n of every phrase of at most `longest` words with n >= least, and of the totals (words = 0).
 
@@ -320,11 +317,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
         passes(n)
         if not n:
             return found
-        more = stored(extensions(found.where(shorter), failed))
-        if not more.limit(1).count():
-            return found
-        counted = count_phrases(docs, range(2, longest + 1), proposed(more), wanted).where(kept)
-        # A false positive of the filter may have been counted before.
+        counted = count_phrases(docs, range(2, longest + 1), proposed(failed), proposed(found.where(shorter)), select=extending).where(kept)
+        # What the sets' false positives let through may have been counted before.
         counted = stored(counted.join(found.where("words > 0").select("lang", "phrase"), ["lang", "phrase"], "left_anti").select("lang", "words", "phrase", "n"))
         found = found.unionByName(counted)
         failed = counted.where(shorter)
