@@ -14,6 +14,7 @@ from triplake.llm.line_dedup import dedup_lines
 from triplake.llm.ngram_join import similar_sets
 from triplake.llm.packing import pack_documents
 from triplake.llm.shared import table
+from triplake.llm.spelling import spelling_variants
 from triplake.llm.words import fold
 
 
@@ -110,8 +111,13 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word with its near words' number, its form and its root."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_line_dedup, op2_document_fingerprints, op3_license_scan, op4_chat_formatting, op5_benchmark_decontamination, op6_quality_classifier, op7_best_fit_packing, op8_ngram_jaccard_join, op9_toxicity, op10_language_id, op11_phrase_collocations, op12_exact_dedup]
+    found = [op1_line_dedup, op2_document_fingerprints, op3_license_scan, op4_chat_formatting, op5_benchmark_decontamination, op6_quality_classifier, op7_best_fit_packing, op8_ngram_jaccard_join, op9_toxicity, op10_language_id, op11_phrase_collocations, op12_exact_dedup, op13_spelling_variants]
     return {f.__name__: f for f in found}
 
 
