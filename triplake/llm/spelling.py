@@ -93,7 +93,8 @@ def word_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
                         total[word] += n
                     if len(total) > FLUSH:
                         yield flush()
-        yield flush()
+        if total:
+            yield flush()
 
     # Ids as text, so that a null id doesn't turn the others into floating-point numbers.
     found = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(counted, "word string, n long")
