@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from triplake.llm.shared import known_id, public_id, stored
+from triplake.llm.shared import NULL_ID, known_id, public_id, stored
 
 #: Characters in a block.
 BLOCK = 512
@@ -104,9 +104,12 @@ def exact_groups(docs: DataFrame, size: int = BLOCK) -> DataFrame:
     named = stored(identities(docs, size))
     last = F.max(F.struct("_id", "_row"))
     groups = named.groupBy("_blocks", "_name").agg(last.alias("_keep"), F.count(F.lit(1)).alias("group_size"))
-    out = named.join(groups, ["_blocks", "_name"])
-    kept = (F.col("_keep._row") == F.col("_row")).alias("kept")
-    return out.select(public_id("_id").alias("doc_id"), public_id("_keep._id").alias("keep_id"), "group_size", kept, F.col("_sha").alias("text_sha256"))
+    # Stored, so that the join exchanges both sides itself and adaptive execution can split the rows of a large group.
+    out = named.join(stored(groups.where("group_size > 1")), ["_blocks", "_name"], "left")
+    keep = F.coalesce("_keep", F.struct("_id", "_row"))
+    kept = (keep["_row"] == F.col("_row")).alias("kept")
+    size = F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size")
+    return out.select(public_id("_id").alias("doc_id"), F.when(keep["_id"] != NULL_ID, keep["_id"]).alias("keep_id"), size, kept, F.col("_sha").alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame, size: int = BLOCK) -> DataFrame:
