@@ -48,7 +48,7 @@ SAMPLE = 8
 LOWERED = 0.6
 
 #: Bytes of text whose words a task counts at a time.
-FLUSH = 1 << 24
+FLUSH = 1 << 23
 
 #: Bits of the proposals' set and hashes of each.
 BITS = 1 << 26
@@ -133,10 +133,12 @@ class Part:
         """The number of every word in order, _BREAK between pieces, and the distinct words by number."""
         data = b"\n".join(self.texts).replace(b"\n", b" \n ") + b" "
         # A token is a word with the space after it; a space alone is none, a line end is the end of a piece.
-        ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 32) + 1
-        tokens = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.append(0, ends)), pa.py_buffer(data)])
+        kind, offset = (pa.binary(), np.int32) if len(data) < 2**31 else (pa.large_binary(), np.int64)
+        ends = np.append(0, np.flatnonzero(np.frombuffer(data, np.uint8) == 32) + 1).astype(offset)
+        tokens = pa.Array.from_buffers(kind, len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)])
         coded = tokens.dictionary_encode()
-        ids, known = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+        ids, known = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.cast(pa.large_binary())
+        del data, ends, tokens, coded
         word = pc.binary_slice(known, 0, -1)
         size = pc.binary_length(word).to_numpy()
         plain = (size > 0) & ~pc.equal(word, pa.scalar(b"\n", word.type)).to_numpy(zero_copy_only=False)
@@ -176,9 +178,11 @@ def bordering(part: Part, lang: str, sizes: range, among: Proposals | None) -> I
         at = np.flatnonzero((names[:-1] >= 0) & (names[1:] >= 0))
         if not len(at):
             return
-        key = names[at].astype(np.int64) << 32 | ids[at + k - 1]
+        key = names[at].astype(np.int64) << 32
+        key |= ids[at + k - 1]
         order, starts, counts = _runs(key)
         first = key[order[starts]]
+        del key
         prefix, last = first >> 32, first & 0xFFFFFFFF
         texts = _spelled(texts.take(pa.array(prefix)), words.take(pa.array(last)))
         if k in sizes:
@@ -224,7 +228,8 @@ def count_phrases(docs: DataFrame, sizes: range, *by: Proposals | None, select=b
 
     def flush(state: dict[str, Part]) -> Iterator[pa.RecordBatch]:
         sets = [Proposals(bits) if bits is not None else None for bits in share.value]
-        for lang, part in state.items():
+        while state:
+            lang, part = state.popitem()
             for k, phrases, counts in select(part, lang, sizes, *sets):
                 for lo in range(0, len(phrases), 100_000):
                     p, c = phrases[lo : lo + 100_000].cast(pa.large_string()).cast(pa.string()), counts[lo : lo + 100_000]
@@ -238,10 +243,11 @@ def count_phrases(docs: DataFrame, sizes: range, *by: Proposals | None, select=b
                 ready += state.setdefault(lang.as_py(), Part()).add(text.as_py())
                 if ready >= FLUSH:
                     yield from flush(state)
-                    state, ready = {}, 0
+                    ready = 0
         yield from flush(state)
 
-    found = docs.select("lang", "text").mapInArrow(parts, COUNTS)
+    # A task's phrases are distinct already, so they are not added up again before the exchange.
+    found = docs.select("lang", "text").mapInArrow(parts, COUNTS).repartition("lang", "words", "phrase")
     return found.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
 
 
