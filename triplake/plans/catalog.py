@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from triplake.config import RETIRED, RETIRED_OPTIONAL, Settings
+from triplake.plans import versions
 from triplake.sources.ingest import common_schema, onto, union_all
 
 
@@ -16,68 +16,52 @@ def create_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
-def write_table(df: DataFrame, table: str, settings: Settings, partition_by: Sequence[str] = ()) -> int:
+def write_table(
+    df: DataFrame,
+    table: str,
+    settings: Settings,
+    partition_by: Sequence[str] = (),
+    columns: Sequence[str] | None = None,
+    where: str | None = None,
+    expected: Mapping[str, Column] | None = None,
+) -> int:
     """Replace a table, schema included, and return its rows as counted by the write itself.
 
-    A count afterwards would be a second job over everything just written.
+    A count afterwards would be a second job over everything just written. columns and where: what of df users see under
+    the name. expected: counts that must be 0 for the table to be replaced.
     """
+    if settings.table_format != "delta":
+        return versions.replace(df, table, partition_by, columns, where, expected)
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.format(settings.table_format).mode("overwrite")
-    if settings.table_format == "delta":
-        writer = writer.option("overwriteSchema", True)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+    shown = df.where(where) if where else df
+    shown = shown.select(*columns) if columns else shown
+    writer = shown.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.format("delta").mode("overwrite")
+    kept = [key for key in partition_by if key in shown.columns]
+    writer = writer.option("overwriteSchema", True)
+    (writer.partitionBy(*kept) if kept else writer).saveAsTable(table)
     return seen.get["n_rows"]
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Inserts replace only the partitions that they have rows for; the session's own mode comes back afterwards."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def replace_partitions(
-    df: DataFrame, table: str, settings: Settings, partition_by: Sequence[str], values: Collection[Sequence[int]]
+    df: DataFrame,
+    table: str,
+    settings: Settings,
+    partition_by: Sequence[str],
+    values: Collection[Sequence[int]],
+    columns: Sequence[str] | None = None,
+    where: str | None = None,
+    expected: Mapping[str, Column] | None = None,
 ) -> int:
-    """Replace the partitions of the given values and leave the others; the rows written.
-
-    Rows of df belong to these partitions. Where df has new columns or wider types, the table takes the common schema:
-    all partitions are then written again with it, first beside the old table, which so can be replaced at no risk.
-    """
+    """Replace the partitions of the given values and leave the others; the rows written. Rows of df belong to these."""
+    if settings.table_format != "delta":
+        return versions.replace_partitions(df, table, partition_by, values, columns, where, expected)
     spark = df.sparkSession
-    stored = spark.table(table)
     named = " OR ".join("(" + " AND ".join(f"{k} <=> {v}" for k, v in zip(partition_by, one)) + ")" for one in values)
-    schema = common_schema([stored.schema, df.schema])
-    same = [(f.name, f.dataType) for f in schema] == [(f.name, f.dataType) for f in stored.schema]
-    if not same:
-        others = stored.where(f"NOT ({named})") if values else stored
-        written = df.count()
-        beside = f"{table}__beside"
-        write_table(onto(others, schema).unionByName(onto(df, schema)), beside, settings, partition_by)
-        write_table(spark.table(beside), table, settings, partition_by)
-        spark.sql(f"DROP TABLE {beside}")
-        return written
+    schema = common_schema([spark.table(table).schema, df.schema])
     seen = Observation()
-    rows = onto(df, stored.schema).observe(seen, F.count(F.lit(1)).alias("n_rows"))
-    if settings.table_format == "delta":
-        rows.write.format("delta").mode("overwrite").option("replaceWhere", named or "false").saveAsTable(table)
-        return seen.get["n_rows"]
-    # A partition that gets no row any more is dropped; the others are overwritten as they come.
-    if values:
-        present = {tuple(row) for row in df.select(*partition_by).distinct().collect()}
-        for one in values:
-            if tuple(one) not in present:
-                spec = ", ".join(f"{k} = {v}" for k, v in zip(partition_by, one))
-                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-    with _dynamic_overwrite(spark):
-        rows.write.mode("overwrite").insertInto(table)
+    rows = onto(df, schema).observe(seen, F.count(F.lit(1)).alias("n_rows"))
+    writer = rows.write.format("delta").mode("overwrite").option("mergeSchema", True)
+    writer.option("replaceWhere", named or "false").saveAsTable(table)
     return seen.get["n_rows"]
 
 
