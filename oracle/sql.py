@@ -375,6 +375,24 @@ _AVG_TOTAL = "round(avg(total_amount), 2) AS avg_total_amount"
 _AVG_PASSENGERS = "round(avg(passenger_count), 4) AS avg_passenger_count"
 
 
+# Three files of fhv rows that share records; of each content and file one row is stored, numbered by file.
+_COPIES = """
+    SELECT 'fhv_tripdata_2023-0' || m || '.parquet' AS source_file, count(*) AS n_rows,
+           count(*) FILTER (WHERE copy = 1) AS n_seen, max(copy) AS most_copies
+    FROM (
+      SELECT m, row_number() OVER (PARTITION BY record_hash ORDER BY m) AS copy
+      FROM (
+        SELECT DISTINCT record_hash, unnest(list_filter(
+                 [1, CASE WHEN n % 3 = 0 THEN 2 END, CASE WHEN n % 5 = 0 THEN 3 END], lambda m: m IS NOT NULL)) AS m
+        FROM (SELECT record_hash, CAST(substr(provider_id, 2) AS BIGINT) AS n FROM valid_fhv)))
+    GROUP BY m"""
+
+_TOKENS = """
+    SELECT CASE WHEN l_suppkey % 10 < 3 THEN TRUE WHEN l_suppkey % 10 < 6 THEN FALSE END AS is_shared_ride,
+           count(*) AS n_trips, count(*) FILTER (WHERE l_suppkey % 7 = 0) AS n_without_pickup
+    FROM lineitem GROUP BY 1"""
+
+
 def all_sql() -> dict[str, str]:
     bodies = {"bronze_union_months": _DRIFTED}
     for t in TYPES:
@@ -397,6 +415,17 @@ def all_sql() -> dict[str, str]:
         "kpi_month_average": f"SELECT pickup_month, {_AVG_TOTAL} FROM fact"
         " WHERE taxi_type = 'yellow' GROUP BY pickup_month",
         "kpi_hourly": "SELECT * FROM hourly",
+        # In whole millionths, as halves of a cent would be rounded by chance otherwise.
+        "kpi_monthly_merged": "SELECT pickup_year, pickup_month, ((u * 2 + n * 10000) // (n * 20000)) / 100.0 AS avg_total_amount,"
+        " n AS n_trips, ((u + 5000) // 10000) / 100.0 AS total_revenue FROM (SELECT pickup_year, pickup_month, count(*) AS n,"
+        " CAST(sum(CAST(total_amount AS DECIMAL(38, 6))) * 1000000 AS HUGEINT) AS u FROM fact"
+        " WHERE taxi_type = 'yellow' GROUP BY ALL)",
+        "kpi_hourly_merged": "SELECT * FROM hourly",
+        "type_summary_merged": _by_type(
+            f"taxi_type, count(*) AS n_trips, {_AVG_TOTAL}, count(total_amount) AS with_total_amount", "fact"
+        ),
+        "fhv_copies_by_file": _COPIES,
+        "fhv_shared_tokens": _TOKENS,
         "kpi_hourly_average": "SELECT pickup_hour, avg_passenger_count FROM hourly",
         "view_projection": "SELECT * FROM trips_view",
         "kpi_monthly_view": f"SELECT {_VIEW_MONTH} AS pickup_month, {_AVG_TOTAL} FROM trips_view"
@@ -418,6 +447,8 @@ def all_sql() -> dict[str, str]:
         " FROM canonical_all WHERE taxi_type <> 'fhv' GROUP BY taxi_type",
         "month_coverage": "SELECT count(*) AS n_months, CAST(337 AS BIGINT) AS expected,"
         " count(*) = 337 AS complete FROM monthly",
+        "month_coverage_whole": "SELECT count(*) AS n_months, CAST(71 AS BIGINT) AS expected,"
+        " count(*) = 71 AS complete FROM monthly",
         "sample_limit": 'SELECT * FROM trips_view ORDER BY tpep_pickup_datetime, taxi_type, "VendorID",'
         " passenger_count NULLS FIRST, total_amount NULLS FIRST, tpep_dropoff_datetime LIMIT 10",
         "duration_p99": _P99,

@@ -49,6 +49,7 @@ class Names:
     kpi_hourly: str = "kpi_hourly_passenger_count"
     view: str = "vw_taxi_consumo"
     extended_view: str = "vw_trips_by_period"
+    kpi_states: str = "kpi_partial_states"
 
     def bronze_table(self, taxi_type: str) -> str:
         return f"{self.bronze}.{taxi_type}_taxi"

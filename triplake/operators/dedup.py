@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from triplake.functions.keys import content_identity
@@ -10,13 +12,17 @@ from triplake.functions.keys import content_identity
 SURVIVOR_ORDER = ("source_file", "ingested_at", "is_shared_ride")
 
 
-def one_per_content(df: DataFrame) -> DataFrame:
-    """Keep one row per record content, the same one on every run.
+def numbered_copies(df: DataFrame, name: str, within: Sequence[str] = ()) -> DataFrame:
+    """The rows with their place, from 1, among those of the same content (and the same columns `within`)."""
+    by, first = ", ".join([*content_identity(), *within]), ", ".join(SURVIVOR_ORDER)
+    return df.selectExpr("*", f"row_number() OVER (PARTITION BY {by} ORDER BY {first}) AS {name}")
+
+
+def one_per_content(df: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """Keep one row per record content (and columns `within`), the same one on every run.
 
     Asking for the first row only lets Spark cut each task's rows to one per
     content before the shuffle as well as after it, so a content that makes up
     a large part of the data never gathers in one task.
     """
-    by, first = ", ".join(content_identity()), ", ".join(SURVIVOR_ORDER)
-    numbered = df.selectExpr("*", f"row_number() OVER (PARTITION BY {by} ORDER BY {first}) AS _copy")
-    return numbered.where("_copy = 1").drop("_copy")
+    return numbered_copies(df, "_first", within).where("_first = 1").drop("_first")

@@ -103,3 +103,59 @@ def view_sql(view: str, fact_table: str, extended: bool = False) -> str:
     columns = [f"{own} AS {public}" for own, public in VIEW_COLUMNS.items()]
     columns += PERIOD_COLUMNS if extended else ()
     return f"CREATE OR REPLACE VIEW {view} AS SELECT {', '.join(columns)} FROM {fact_table}"
+
+
+# Mergeable states: sums and counts that add up over any division of the trips into parts. Amounts are added up as decimals,
+# whose sum doesn't depend on the order of the parts, unlike that of doubles. An amount without a decimal (not a number, or
+# beyond 32 digits) is added apart.
+EXACT = "decimal(38,6)"
+
+STATE_KEYS = ("taxi_type", "pickup_year", "pickup_month", "pickup_hour")
+
+
+def partial_states(trips: DataFrame) -> DataFrame:
+    """What the KPIs and the summary need of the trips, per category, month and hour of day."""
+    riding = F.when(F.col("passenger_count") > 0, F.col("passenger_count"))
+    exact = F.col("total_amount").try_cast(EXACT)
+    return trips.groupBy(*STATE_KEYS).agg(
+        _n_trips(),
+        F.sum(exact).alias("sum_total_amount"),
+        F.sum(F.when(exact.isNull(), F.col("total_amount"))).alias("odd_total_amount"),
+        F.count("total_amount").alias("n_total_amount"),
+        F.sum(riding).alias("sum_passenger_count"),
+        F.count(riding).alias("n_passenger_count"),
+    )
+
+
+def _merged_total(per: Column | None = None, digits: int = 2) -> Column:
+    """The rounded sum of the totals, or the sum divided by `per`; NULL where no part has a total.
+
+    A decimal is rounded before it becomes a double, so that halves of a cent are those of the amounts.
+    """
+    exact, odd = F.sum("sum_total_amount"), F.sum("odd_total_amount")
+    share = lambda total: total if per is None else total / F.nullif(per, F.lit(0))
+    inexact = F.round(share(F.coalesce(exact.cast("double"), F.lit(0.0)) + odd), digits)
+    return F.when(odd.isNull(), F.round(share(exact), digits).cast("double")).otherwise(inexact)
+
+
+def _merged_average() -> Column:
+    return _merged_total(F.sum("n_total_amount")).alias("avg_total_amount")
+
+
+def merged_totals(states: DataFrame) -> DataFrame:
+    """yellow_totals() from partial states."""
+    yellow = states.where(F.col("taxi_type") == "yellow").groupBy("pickup_year", "pickup_month")
+    return yellow.agg(_merged_average(), F.sum("n_trips").alias("n_trips"), _merged_total().alias("total_revenue"))
+
+
+def merged_hourly(states: DataFrame, month: int = HOURLY_KPI_MONTH) -> DataFrame:
+    """hourly_passengers() from partial states."""
+    riding = states.where((F.col("pickup_month") == month) & (F.col("n_passenger_count") > 0))
+    passengers = F.round(F.sum("sum_passenger_count") / F.sum("n_passenger_count"), 4).alias("avg_passenger_count")
+    return riding.groupBy("pickup_hour").agg(passengers, F.sum("n_passenger_count").alias("n_trips"))
+
+
+def merged_summary(states: DataFrame) -> DataFrame:
+    """type_summary() from partial states."""
+    measures = [F.sum("n_trips").alias("n_trips"), _merged_average(), F.sum("n_total_amount").alias("with_total_amount")]
+    return states.groupBy("taxi_type").agg(*measures).orderBy("taxi_type")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triplake.config import Settings
@@ -13,17 +13,30 @@ from triplake.sources.ingest import union_all
 
 DUPLICATE_CHECK = "record_hash_unique"
 
+#: Categories whose trips have a total.
+WITH_TOTAL = ("yellow", "green", "hvfhv")
+
 
 def duplicate_hashes(df: DataFrame) -> DataFrame:
     """Record hashes that occur more than once, with their number of rows."""
     return df.groupBy("record_hash").agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
 
 
+def rule_expectations(taxi_type: str, settings: Settings) -> dict[str, Column]:
+    """Counts of rows that break a rule, by rule; a write can take them along. A comparison with NULL is not a violation."""
+    return {rule.name: F.expr(f"count_if(NOT ({rule.holds}))") for rule in rules_for(taxi_type, settings)}
+
+
+def total_expectations() -> dict[str, Column]:
+    """Count of missing totals of the categories that must have one."""
+    missing = F.col("taxi_type").isin(*WITH_TOTAL) & F.col("total_amount").isNull()
+    return {"null_totals": F.count_if(missing)}
+
+
 def _broken_rules(df: DataFrame, taxi_type: str, settings: Settings) -> DataFrame:
     """All rules of a table in one aggregation; a comparison with NULL is not a violation."""
-    rules = rules_for(taxi_type, settings)
-    counts = df.selectExpr(*[f"count_if(NOT ({rule.holds})) AS {rule.name}" for rule in rules])
-    return counts.unpivot([], [rule.name for rule in rules], "check_name", "n_violations")
+    counts = rule_expectations(taxi_type, settings)
+    return df.agg(*[count.alias(name) for name, count in counts.items()]).unpivot([], list(counts), "check_name", "n_violations")
 
 
 def violations(silver: Mapping[str, DataFrame], settings: Settings) -> DataFrame:
@@ -43,7 +56,7 @@ def violations(silver: Mapping[str, DataFrame], settings: Settings) -> DataFrame
 def null_totals(fact: DataFrame) -> DataFrame:
     """Missing totals of the categories that must have one, expected 0."""
     return (
-        fact.where(F.col("taxi_type").isin("yellow", "green", "hvfhv"))
+        fact.where(F.col("taxi_type").isin(*WITH_TOTAL))
         .groupBy("taxi_type")
         .agg(F.count_if(F.col("total_amount").isNull()).alias("n_null_totals"))
     )

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from triplake.config import TAXI_TYPES
 from triplake.functions.flags import FLAGS
 from triplake.operators import audit, kpi, quality
 from triplake.operators.dedup import one_per_content
 from triplake.operators.fact import fact_trips
+from triplake.operators.rules import first_failed, rules_for
 from triplake.plans import silver as layer
 from triplake.sources import standins
 from triplake.sources.canonical import to_canonical
@@ -72,6 +74,20 @@ def _per_type(taxi_type: str) -> dict[str, Query]:
     }
 
 
+def copies_by_file(raw: DataFrame) -> DataFrame:
+    """Stored fhv rows of each file and how many of them users see, when files share records."""
+    rows = layer.fhv_with_copies(layer.fhv_candidates(raw, SETTINGS))
+    seen = F.count_if(F.expr(layer.SEEN)).alias("n_seen")
+    return rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"), seen, F.max(layer.COPY).cast("long").alias("most_copies"))
+
+
+def shared_tokens(raw: DataFrame) -> DataFrame:
+    """fhv rows by the flag read from their token, and those that the rule about pickups removes."""
+    rows = to_canonical(raw, "fhv").withColumn("failed", F.expr(first_failed(rules_for("fhv", SETTINGS))))
+    no_pickup = F.count_if(F.col("failed") == "pickup_known").alias("n_without_pickup")
+    return rows.groupBy("is_shared_ride").agg(audit.n_rows(), no_pickup)
+
+
 def all_queries() -> dict[str, Query]:
     queries: dict[str, Query] = {
         "bronze_union_months": _query(lambda at: standins.drifting_months(at.spark, at.sf_dir)),
@@ -91,6 +107,11 @@ def all_queries() -> dict[str, Query]:
         "kpi_month_only": _query(lambda at: kpi.yellow_totals(at.fact(), kpi.MONTH)),
         "kpi_month_average": _query(lambda at: kpi.yellow_totals(at.fact(), kpi.MONTH, average_only=True)),
         "kpi_hourly": _query(lambda at: kpi.hourly_passengers(at.fact())),
+        "kpi_monthly_merged": _query(lambda at: kpi.merged_totals(kpi.partial_states(at.fact()))),
+        "kpi_hourly_merged": _query(lambda at: kpi.merged_hourly(kpi.partial_states(at.fact()))),
+        "type_summary_merged": _query(lambda at: kpi.merged_summary(kpi.partial_states(at.fact()))),
+        "fhv_copies_by_file": _query(lambda at: copies_by_file(standins.fhv_files(at.raw("fhv")))),
+        "fhv_shared_tokens": _query(lambda at: shared_tokens(standins.with_gaps(at.raw("fhv")))),
         "kpi_hourly_average": _query(lambda at: kpi.hourly_passengers(at.fact(), average_only=True)),
         "view_projection": _query(lambda at: at.view()),
         "kpi_monthly_view": _query(lambda at: kpi.yellow_totals(at.view(), kpi.MONTH, average_only=True)),
@@ -109,6 +130,7 @@ def all_queries() -> dict[str, Query]:
         "null_totals": _query(lambda at: quality.null_totals(at.fact())),
         "null_totals_before_rules": _query(lambda at: quality.null_totals(at.together(at.canonical))),
         "month_coverage": _query(lambda at: quality.month_coverage(kpi.yellow_totals(at.fact()), SETTINGS)),
+        "month_coverage_whole": _query(lambda at: quality.month_coverage(kpi.yellow_totals(at.fact()), standins.WHOLE)),
         "sample_limit": _query(
             lambda at: at.view().orderBy("tpep_pickup_datetime", *kpi.VIEW_COLUMNS.values()).limit(10)
         ),

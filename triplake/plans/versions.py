@@ -81,9 +81,9 @@ def _next(spark: SparkSession, name: str) -> int:
 
 
 def write_segment(
-    df: DataFrame, name: str, partition_by: Sequence[str] = (), expected: Mapping[str, Column] | None = None
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), where: str | None = None, expected: Mapping[str, Column] | None = None
 ) -> tuple[str, int]:
-    """Write the rows beside the current table: the segment and its number of rows, as counted by the write itself.
+    """Write the rows beside the current table: the segment and its number of rows that satisfy where, counted by the write.
 
     expected: counts of rows that must be 0, taken along by the same write. If one is not, the segment goes again.
     """
@@ -92,7 +92,8 @@ def write_segment(
     segment = _full(name, f"s{_next(spark, name)}")
     seen, expected = Observation(), expected or {}
     counts = [F.coalesce(count, F.lit(0)).alias(f"bad_{i}") for i, count in enumerate(expected.values())]
-    writer = df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *counts).write.format("parquet")
+    shown = F.count_if(F.expr(where)) if where else F.count(F.lit(1))
+    writer = df.observe(seen, shown.alias("n_rows"), *counts).write.format("parquet")
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(segment)
     wrong = {what: seen.get[f"bad_{i}"] for i, what in enumerate(expected) if seen.get[f"bad_{i}"]}
     if wrong:
@@ -147,7 +148,7 @@ def replace(
 ) -> int:
     """Replace a table, schema included; the rows written."""
     spark = df.sparkSession
-    segment, rows = write_segment(df, name, partition_by, expected)
+    segment, rows = write_segment(df, name, partition_by, where, expected)
     publish(spark, name, segment, columns, where)
     sweep(spark, name)
     return rows
@@ -180,20 +181,24 @@ def replace_partitions(
         written = df.count()
         replace(onto(others, schema).unionByName(onto(df, schema)), name, keys, columns, where, expected)
         return written
-    segment, rows = write_segment(onto(df, schema), name, keys, expected)
+    segment, rows = write_segment(onto(df, schema), name, keys, where, expected)
     version = _full(name, f"v{_next(spark, name)}")
     made = spark.table(segment).schema
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in made)
     root = _location(spark, segment)
-    used = [_end(segment), *filter(None, (_properties(spark, old).get(SEGMENTS) or _end(old)).split(","))]
+    places = [(segment, value) for value in partitions(spark, segment)]
+    places += [(old, value) for value in partitions(spark, old) if value not in gone]
+    at = {value: _location(spark, stored_at, _spec(keys, value)) for stored_at, value in places}
+    # A managed table's folder has its name, which tells the segments that partitions lie in.
+    table = _place(name)[1]
+    found = (re.search(rf"/{re.escape(table)}__(s\d+)/", where_it_lies, re.IGNORECASE) for where_it_lies in at.values())
+    used = {_end(segment), *(m[1] for m in found)}
     spark.sql(
         f"CREATE TABLE {version} ({fields}) USING parquet PARTITIONED BY ({', '.join(f'`{k}`' for k in keys)})"
-        f" LOCATION '{root}__version' TBLPROPERTIES ('{SEGMENTS}' = '{','.join(dict.fromkeys(used))}')"
+        f" LOCATION '{root}__version' TBLPROPERTIES ('{SEGMENTS}' = '{','.join(sorted(used))}')"
     )
-    places = [(segment, value) for value in partitions(spark, segment)]
-    places += [(old, value) for value in partitions(spark, old) if value not in gone]
-    if places:
-        added = " ".join(f"{_spec(keys, value)} LOCATION '{_location(spark, at, _spec(keys, value))}'" for at, value in places)
+    if at:
+        added = " ".join(f"{_spec(keys, value)} LOCATION '{location}'" for value, location in at.items())
         spark.sql(f"ALTER TABLE {version} ADD {added}")
     publish(spark, name, version, columns, where)
     sweep(spark, name)

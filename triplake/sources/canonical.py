@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,8 +89,8 @@ def expressions(raw: DataFrame, taxi_type: str) -> dict[str, str]:
     }
 
 
-def to_canonical(raw: DataFrame, taxi_type: str) -> DataFrame:
-    """Raw rows of a category as the canonical columns; what a source lacks is a typed NULL.
+def to_canonical(raw: DataFrame, taxi_type: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw rows of a category as the canonical columns, and the columns `keep`; what a source lacks is a typed NULL.
 
     A value its type cannot hold, such as a NaN count or malformed text in a
     column that drifted to text, becomes NULL and is left to the rules.
@@ -96,5 +98,6 @@ def to_canonical(raw: DataFrame, taxi_type: str) -> DataFrame:
     values = expressions(raw, taxi_type)
     raw = in_utc(raw)
     return raw.selectExpr(
-        *[f"try_cast({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in CANONICAL]
+        *[f"try_cast({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in CANONICAL],
+        *keep,
     )

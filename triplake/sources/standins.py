@@ -18,6 +18,9 @@ from triplake.sources.ingest import union_months
 
 SETTINGS = Settings(period_start=datetime(1996, 1, 1), period_end=datetime(2024, 1, 25))
 
+#: The period whose every month has yellow trips.
+WHOLE = Settings(period_start=datetime(1996, 1, 1), period_end=datetime(2001, 12, 1))
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -165,3 +168,23 @@ def unreadable(trips: DataFrame) -> DataFrame:
             "trip_distance": text("trip_distance", F.col("passenger_count") == 0, "far"),
         }
     )
+
+
+def fhv_files(trips: DataFrame) -> DataFrame:
+    """fhv rows as three monthly files that repeat some of each other's records: every third, and every fifth of the rest."""
+    number = F.expr("cast(substr(dispatching_base_num, 2) AS bigint)")
+    here = F.array(F.lit(1), F.when(number % 3 == 0, 2), F.when(number % 5 == 0, 3))
+    dealt = trips.withColumn("_partition_month", F.explode(F.array_compact(here))).withColumn("_partition_year", F.lit(2023))
+    return dealt.withColumn("source_file", F.concat(F.lit("fhv_tripdata_2023-0"), F.col("_partition_month").cast("string"), F.lit(".parquet")))
+
+
+def with_gaps(trips: DataFrame) -> DataFrame:
+    """fhv rows whose flag says each of the tokens that sources use, and others, and some of whose pickups are missing."""
+    number = F.expr("cast(substr(dispatching_base_num, 2) AS bigint)")
+    tokens = F.array(*(F.lit(token) for token in ("1", "Y", "True", "0", "N", "False", "maybe", "", "y")), F.lit(None))
+    return trips.withColumns(
+        {
+            "SR_Flag": F.element_at(tokens, (number % 10 + 1).cast("int")),
+            "pickup_datetime": F.when(number % 7 != 0, F.col("pickup_datetime")),
+        }
+    )
