@@ -48,14 +48,11 @@ SAMPLE = 8
 LOWERED = 0.6
 
 #: Bytes of text whose words a task counts at a time.
-FLUSH = 1 << 23
+FLUSH = 14 << 20
 
 #: Bits of the proposals' set and hashes of each.
 BITS = 1 << 26
 HASHES = 4
-
-#: Bytes of a page of the set, the unit in which it is put together.
-PAGE = 1 << 14
 _SHIFT = np.uint64(64 - (BITS.bit_length() - 1))
 
 #: Shares of a language in which its first rows are chosen before they are chosen of all.
@@ -230,10 +227,11 @@ def count_phrases(docs: DataFrame, sizes: range, *by: Proposals | None, select=b
         sets = [Proposals(bits) if bits is not None else None for bits in share.value]
         while state:
             lang, part = state.popitem()
-            for k, phrases, counts in select(part, lang, sizes, *sets):
+            for _, phrases, counts in select(part, lang, sizes, *sets):
+                of = pa.scalar(lang.encode("utf-8", "replace"), phrases.type)
                 for lo in range(0, len(phrases), 100_000):
-                    p, c = phrases[lo : lo + 100_000].cast(pa.large_string()).cast(pa.string()), counts[lo : lo + 100_000]
-                    yield pa.record_batch([pa.array([lang] * len(p), pa.string()), pa.array(np.full(len(p), k, np.int32)), p, pa.array(c.astype(np.int64))], names=["lang", "words", "phrase", "n"])
+                    keys = pc.binary_join_element_wise(phrases[lo : lo + 100_000], of, pa.scalar(b"\t", phrases.type))
+                    yield pa.record_batch([keys.cast(pa.large_string()).cast(pa.string()), pa.array(counts[lo : lo + 100_000].astype(np.int64))], names=["key", "n"])
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict[str, Part] = {}
@@ -246,9 +244,12 @@ def count_phrases(docs: DataFrame, sizes: range, *by: Proposals | None, select=b
                     ready = 0
         yield from flush(state)
 
-    # A task's phrases are distinct already, so they are not added up again before the exchange.
-    found = docs.select("lang", "text").mapInArrow(parts, COUNTS).repartition("lang", "words", "phrase")
-    return found.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+    # One short key for phrase and language, as words hold no tab: rows of the exchange are a third smaller. A task's phrases
+    # are distinct already, so they are not added up again before it.
+    found = docs.select("lang", "text").mapInArrow(parts, "key string, n long").repartition("key")
+    found = found.groupBy("key").agg(F.sum("n").alias("n")).withColumn("phrase", F.substring_index("key", "\t", 1))
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ", -1))).alias("words")
+    return found.select(F.substr(F.col("key"), F.length("phrase") + 2).alias("lang"), words, "phrase", "n")
 
 
 def phrase_hashes(lang: pd.Series, phrase: pd.Series) -> np.ndarray:
@@ -268,7 +269,7 @@ def phrase_hashes(lang: pd.Series, phrase: pd.Series) -> np.ndarray:
 
 
 def proposed(found: DataFrame, before: Proposals | None = None) -> Proposals:
-    """before and the phrases of found. What comes to the driver is the set itself, in pages of PAGE bytes."""
+    """before and the phrases of found. What comes to the driver is the set itself, at most BITS / 64 words."""
 
     def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -276,18 +277,11 @@ def proposed(found: DataFrame, before: Proposals | None = None) -> Proposals:
                 p = np.concatenate(list(Proposals.places(phrase_hashes(b.lang, b.phrase)))).astype(np.int64)
                 yield pd.DataFrame({"word": p >> 6, "bits": np.uint64(1).astype(np.int64) << (p & 63)})
 
-    def page(rows: pd.DataFrame) -> pd.DataFrame:
-        bits = np.zeros(PAGE // 8, np.int64)
-        bits[rows.word.to_numpy() % (PAGE // 8)] = rows.bits.to_numpy()
-        return pd.DataFrame({"page": [int(rows.word.iloc[0]) // (PAGE // 8)], "bits": [bits.tobytes()]})
-
     words = found.select("lang", "phrase").mapInPandas(places, "word long, bits long")
-    words = words.groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    pages = words.groupBy(F.expr(f"word div {PAGE // 8}")).applyInPandas(page, "page long, bits binary")
-    bits = np.zeros(BITS // 8, np.uint8) if before is None else before.bits.copy()
-    for row in pages.toLocalIterator():
-        bits[row.page * PAGE : (row.page + 1) * PAGE] |= np.frombuffer(row.bits, np.uint8)
-    return Proposals(bits)
+    rows = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bits = np.zeros(BITS // 64, np.int64) if before is None else before.bits.view(np.int64).copy()
+    bits[rows["word"].to_numpy()] |= rows["bits"].to_numpy()
+    return Proposals(bits.view(np.uint8))
 
 
 def not_proposed(found: DataFrame, by: Proposals) -> DataFrame:
