@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
@@ -54,6 +55,28 @@ def encoder(ranks_path: str):
     return tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
+#: White space as the splitting knows it, in runs that may be too long for it to go back over.
+_GAP = re.compile("[{0}]{{1000,}}(?=[^{0}])".format("\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"))
+
+
+def token_ids(ranks_path: str, text: str) -> list[int]:
+    """The text's ids, also where a run of white space is longer than the splitting can take.
+
+    Such a run is one piece but for its last character, which goes with what follows; before the special token, or at the
+    end of the text, it is one piece as a whole. Cutting the text there leaves the pieces as they are.
+    """
+    encode = partial(encoder(ranks_path).encode, allowed_special="all")
+    try:
+        return encode(text)
+    except ValueError:
+        out, at = [], 0
+        for gap in _GAP.finditer(text):
+            end = gap.end() if any(text.startswith(special, gap.end()) for special in SPECIAL) else gap.end() - 1
+            out += encode(text[at:end])
+            at = end
+        return out + encode(text[at:])
+
+
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of n tokens; the first may be shorter."""
     if n <= capacity:
@@ -66,11 +89,10 @@ def pieces(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY, with_ids:
     """doc_id, piece, start, length, ids_crc32 (and token_ids) of every document."""
 
     def tokenised(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = partial(encoder(ranks_path).encode, allowed_special="all")
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.doc_id, batch.text, strict=True):
-                ids = np.array([*encode(text or ""), END], dtype="<u4")
+                ids = np.array([*token_ids(ranks_path, text or ""), END], dtype="<u4")
                 for k, (start, length) in enumerate(cut(len(ids), capacity)):
                     part = ids[start : start + length]
                     rows.append((doc_id, k, start, length, zlib.crc32(part.tobytes()), *([part.astype(np.int64)] if with_ids else [])))
