@@ -4,7 +4,7 @@ A text is the sequence of its words (lower case, between white space). Of every
 s = 2 words are hashed; the k-mer is a syncmer if the least of those hashes is that of its first or its last run. The
 choice looks at the k words alone, so the same passage gives the same anchors in any context, and anchors of two texts
 can be matched position by position. A fingerprint is the list of anchors: 32-bit hashes in text order, written as eight
-hex digits each. Texts of fewer than k words have one anchor, of all their words.
+hex digits each. Texts of fewer than k words, and those without a syncmer, have one anchor, of all their words.
 
 Defined results: a null text counts as empty; an empty text, or one of white space, has the empty fingerprint. The
 likeness of two fingerprints is the share of distinct anchors that both have, 2 |A & B| / (|A| + |B|); two empty ones
@@ -45,7 +45,8 @@ def anchors(text: Column) -> Column:
             return F.transform(at, lambda i: F.struct(i.alias("pos"), low(F.xxhash64(m[i], m[i + 2], h[i + 4])).alias("hash")))
 
         few = F.transform(F.slice(h, 1, F.least(n, F.lit(1))), lambda _: F.struct(F.lit(0).alias("pos"), F.xxhash64(h).bitwiseAND(F.lit(0xFFFFFFFF)).alias("hash")))
-        return F.when(n < WORDS, few).otherwise(let(pairs, closed))
+        # Of a short text with enough words none may be a syncmer; its words are one anchor then, as those of a shorter text.
+        return F.when(n < WORDS, few).otherwise(let(let(pairs, closed), lambda c: F.when(F.size(c) == 0, few).otherwise(c)))
 
     return let(word_hashes(text), chosen)
 
