@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import numpy as np
 import xxhash
 
 from triplake.llm import line_dedup, ngram_join
@@ -141,3 +142,39 @@ def test_odd_sets(odd, none):
     # The null id is the smallest, and its text is that of document 1.
     assert rows.count((1, 4, None)) == 2 and (None, 4, None) in rows
     assert ngram_join.similar_sets(none).count() == 0
+
+
+def test_texts_around_a_hot_passage_are_not_compared_in_pairs(spark):
+    """A passage that is a third of 300 unrelated texts, a large group of near copies, and a shingle that all share."""
+    passage = " ".join(f"p{k}" for k in range(60))
+    docs = [(k, f"{passage} " + " ".join(f"d{k}x{j}" for j in range(120)) + " the last three") for k in range(300)]
+    copy = [f"c{j}" for j in range(200)]
+    docs += [(1_000 + k, " ".join("x" if j in (k % 190, k // 3) else w for j, w in enumerate(copy)) + " the last three") for k in range(80)]
+    out = ngram_join.similar_sets(spark.createDataFrame(docs, "doc_id long, text string"))
+    got = sorted(tuple(r) for r in out.collect())
+    assert got == brute_sets(docs)
+    assert len({c for i, _, c in got if i >= 1_000}) < 5 and len({c for i, _, c in got if i < 1_000}) == 300
+
+
+def test_short_lists_hold_what_links_need():
+    """Of any two sets that reach the similarity, enough members are in both sets' short lists, and one brings them together."""
+    rng = np.random.default_rng(7)
+    for percent in (80, 90):
+        for n in (1, 2, 9, 10, 31, 200, 900):
+            base = np.unique(rng.integers(-(2**63), 2**63 - 1, n))
+            lists = {int(m): int(rng.integers(1, 9)) for m in base}
+            for _ in range(20):
+                gone = rng.permutation(n)[: rng.integers(0, n * (100 - percent) // 100 + 1)]
+                a, b = base, np.delete(base, gone)
+                sides = []
+                for s in (a, b):
+                    some = ngram_join.leading(s, percent)
+                    held = [m for m in some.tolist() if m < ngram_join.counted_below(percent) and (lists[m] > 1 or m in b)]
+                    lengths = np.array([max(2, lists[m]) if m in b else lists[m] for m in held], np.int64)
+                    sides.append(ngram_join.divided(some, len(s), np.array(held, np.int64), lengths, percent))
+                t = -(-percent * (len(a) + len(b)) // (100 + percent))
+                if len(b) < t:
+                    continue
+                spare = min(ngram_join.asked(len(s), percent) - ngram_join.least_shared(len(s), percent) for s in (a, b))
+                assert len(np.intersect1d(sides[0][0], sides[1][0])) >= t + spare
+                assert len(np.intersect1d(sides[0][1], sides[1][1])) >= 1

@@ -1,14 +1,17 @@
 """Jaccard join of shingle sets by T-occurrence search.
 
 A document's set holds the hashes of its distinct word shingles. Two sets of n and m members reach the similarity only if
-they share T members. As in DivideSkip, a document's inverted lists are divided: the T - 1 longest are set aside, so a
-partner must occur at least once in one of the others, the short ones. The short lists are merged by Spark's sort-merge
-grouping (a list is a bucket of postings); the long ones are never scanned: a candidate's own sorted set is probed for
-them by binary search, and the search stops once the required overlap is reached or out of reach. Before sets are
-fetched, counts of members by class of hash rule out pairs that cannot reach it.
-
-All documents must divide their lists by one order of the shingles: those that a bounded sample of documents shows to be
-frequent come last, then the hash decides. The order affects speed alone; any order gives every link.
+they share t members, and no partner of a set of n shares fewer than T. As in DivideSkip, a document's inverted lists are
+divided by length, which is an exact count of the distinct sets that hold a member: the long ones are set aside, the
+n - T + c shortest are merged. Of any partner's members at least one is in the first n - T + 1 lists, which bring the
+candidates together (lists of one set name no candidate and are dropped), and at least c + t - T are in all short lists.
+So the short lists of two candidates are merged first and the occurrences counted; the few pairs that reach that number are
+settled by binary search in the whole sets, which stops once the required overlap is reached or out of reach. A member may
+be short in one set and long in the other, so this last search takes all members of the smaller set.
+
+All documents must divide their lists by one order of the shingles. Lists are counted, over all documents, for the hashes
+below a limit, a share of the hash space that grows with what partners may lack (COUNTED); they come first, by count, the
+other hashes after them, by value. The order affects speed alone; any order gives every link.
 
 Copies of one set are one class before any list is made. A list is compared as `graph.linked` does: groups of near
 copies are joined through centres, not pair by pair, and lose no link between classes.
@@ -35,12 +38,11 @@ from triplake.llm.words import MEMORY
 SHINGLE = 3
 PERCENT = 90
 
-#: Documents in the sample that tells frequent shingles, and how many of them make a shingle frequent.
-SAMPLE = 8_192
-FREQUENT = 4
+#: Share of the hash space whose lists are counted, as a multiple of the share of a set that a partner may lack.
+COUNTED = 2.5
 
-#: Classes of hashes whose counts rule out most pairs before sets are fetched; a power of two.
-CLASSES = 256
+#: One in so many of the T shared members is asked of the short lists (c); more lengthens them and leaves fewer pairs.
+MERGED = 16
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -73,11 +75,37 @@ def least_shared(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def divided(members: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """The members whose lists are short: all but the T - 1 that come last."""
-    late = np.isin(members, frequent, assume_unique=True)
-    ordered = np.concatenate([members[~late], members[late]])
-    return ordered[: len(members) - least_shared(len(members), percent) + 1]
+def asked(n: int, percent: int) -> int:
+    """Occurrences (c) that a set of n asks of its short lists."""
+    return max(1, least_shared(n, percent) // MERGED)
+
+
+def counted_below(percent: int) -> int:
+    """The limit under which hashes' lists are counted."""
+    share = min(1.0, COUNTED * (100 - percent) / 100)
+    return min(2**63 - 1, -(2**63) + int(share * 2**64))
+
+
+def leading(members: np.ndarray, percent: int) -> np.ndarray:
+    """The members from which short lists are chosen: all that are counted, and the next hashes where those are too few."""
+    n = len(members)
+    least = n - least_shared(n, percent) + asked(n, percent)
+    return members[: max(least, int(np.searchsorted(members, counted_below(percent))))]
+
+
+def divided(some: np.ndarray, n: int, shared: np.ndarray, lengths: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Members of the short lists, sorted, and those of them whose lists bring candidates.
+
+    some: the set's leading members; shared: the counted ones that other sets hold too, with their lists' lengths.
+    """
+    length = np.ones(len(some), np.int64)
+    length[np.searchsorted(some, shared)] = lengths
+    uncounted = some >= counted_below(percent)
+    order = np.lexsort((some, length, uncounted))
+    first = n - least_shared(n, percent) + 1
+    bring = order[:first]
+    bring = bring[(length[bring] > 1) | uncounted[bring]]
+    return np.sort(some[order[: first - 1 + asked(n, percent)]]), some[bring]
 
 
 def enough(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -98,40 +126,10 @@ def enough(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return shared >= needed
 
 
-def spread(members: np.ndarray) -> bytes:
-    """How many members fall in each of CLASSES classes of the hash; one byte a class, or four where one is not enough."""
-    counts = np.bincount(members & (CLASSES - 1), minlength=CLASSES)
-    return counts.astype(np.uint8 if counts.max() < 256 else np.uint32).tobytes()
-
-
-def may_reach(a: bytes, b: bytes, percent: int) -> bool:
-    """False only if sets spread like a and b can't be similar: no class shares more than its smaller count."""
-    x, y = (np.frombuffer(t, np.uint8 if len(t) == CLASSES else np.uint32).astype(np.int64) for t in (a, b))
-    shared = int(np.minimum(x, y).sum())
-    return 100 * shared >= percent * (int(x.sum()) + int(y.sum()) - shared)
-
-
-def frequent_shingles(docs: DataFrame, size: int) -> np.ndarray:
-    """Sorted hashes of shingles that FREQUENT documents of a sample of about SAMPLE share; at most the sample's words."""
-    n = docs.count()
-    ids = F.pmod(F.xxhash64("_id", F.lit("list")), F.lit(1_000_000))
-    sample = docs.where(ids < int(1_000_000 * min(1.0, SAMPLE / max(n, 1))))
-
-    def sets(batches):
-        known: dict = {}
-        for b in batches:
-            yield pd.DataFrame({"s": [shingles(t, size, known) for t in b.text]})
-
-    counted = sample.select("text").mapInPandas(sets, "s array<long>").select(F.explode("s").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n"))
-    found = counted.where(F.col("n") >= FREQUENT).select("s").toPandas()
-    return np.sort(found.s.to_numpy(dtype=np.int64))
-
-
 def similar_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row for each row of docs(doc_id, text): doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     texts = docs.select(known_id().alias("_id"), "text")
-    frequent = spark.sparkContext.broadcast(frequent_shingles(texts, size))
 
     def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict = {}
@@ -139,29 +137,44 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
             rows = []
             for i, t in zip(b["_id"], b.text, strict=True):
                 s = shingles(t, size, known)
-                rows.append((i, len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, divided(s, frequent.value, percent) if len(s) else s, spread(s) if len(s) else None))
-            yield pd.DataFrame(rows, columns=["_id", "n", "key", "short", "sig"])
+                rows.append((i, len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, leading(s, percent)))
+            yield pd.DataFrame(rows, columns=["_id", "n", "key", "some"])
 
-    sets = stored(texts.mapInPandas(summed, "_id long, n int, key binary, short array<long>, sig binary"))
+    sets = stored(texts.mapInPandas(summed, "_id long, n int, key binary, some array<long>"))
     # One row a set: its smallest document stands for it, and its lists are made once.
     of = lambda c: F.min_by(c, "_id").alias(c)
-    classes = sets.where("n > 0").groupBy("key").agg(F.min("_id").alias("_id"), F.count(F.lit(1)).cast("int").alias("times"), of("n"), of("short"), of("sig"))
-    own = stored(classes.select(F.xxhash64("key").alias("node"), "_id", "times", "n", "short", "sig"))
-    postings = own.select(F.explode("short").alias("bucket"), "node", (-F.col("times")).alias("rank"), F.col("n").alias("info"))
+    classes = sets.where("n > 0").groupBy("key").agg(F.min("_id").alias("_id"), F.count(F.lit(1)).cast("int").alias("times"), of("n"), of("some"))
+    classes = stored(classes.select(F.xxhash64("key").alias("node"), "_id", "times", "n", "some"))
+    held = classes.select("node", F.explode("some").alias("member")).where(F.col("member") < F.lit(counted_below(percent)))
+    lengths = held.groupBy("member").agg(F.count(F.lit(1)).alias("length")).where("length > 1")
+    # A set's own members come back to it, no more than it has.
+    shared = held.join(lengths, "member").groupBy("node").agg(F.collect_list(F.struct("member", "length")).alias("shared"))
+    shared = shared.select("node", F.col("shared.member").alias("shared"), F.col("shared.length").alias("lengths"))
+    no = F.array().cast("array<long>")
+
+    def divide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            lists = [divided(s, n, x, y, percent) for s, n, x, y in zip(b.some, b.n, b.shared, b.lengths, strict=True)]
+            yield b[["node", "_id", "times", "n"]].assign(short=[x for x, _ in lists], bring=[y for _, y in lists])
+
+    found = classes.join(shared, "node", "left").withColumns({c: F.coalesce(c, no) for c in ("shared", "lengths")})
+    own = stored(found.mapInPandas(divide, "node long, _id long, times int, n int, short array<long>, bring array<long>"))
+    postings = own.select(F.explode("bring").alias("bucket"), "node", (-F.col("times")).alias("rank"), F.col("n").alias("info"))
 
     def fits(a: str, b: str) -> Column:
         return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
-    def likely(pairs: DataFrame) -> DataFrame:
-        def kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                yield b.loc[[may_reach(x, y, percent) for x, y in zip(b.sa, b.sb, strict=True)], ["a", "b"]]
-
-        side = lambda c: own.select(F.col("node").alias(c), F.col("sig").alias(f"s{c}"))
-        return stored(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInPandas(kept, "a long, b long"))
+    def merged(pairs: DataFrame) -> DataFrame:
+        """Pairs that occur together in as many short lists as a link needs."""
+        least = lambda n: f"cast(ceil({percent}L * n{n} / 100) AS int)"
+        spare = lambda n: f"greatest(1, {least(n)} div {MERGED}) - {least(n)}"
+        both = f"cast(ceil({percent}L * (na + nb) / {100 + percent}) AS int)"
+        side = lambda c: own.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("short").alias(f"s{c}"))
+        enough_short = f"size(array_intersect(sa, sb)) >= {both} + least({spare('a')}, {spare('b')})"
+        return stored(pairs.join(side("a"), "a").join(side("b"), "b").where(enough_short).select("a", "b"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = likely(pairs)
+        pairs = merged(pairs)
         nodes = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(own.select("node", "_id"), "node"))
 
         def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
