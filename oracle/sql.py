@@ -234,6 +234,18 @@ def _violations(prefix: str) -> str:
     return " UNION ALL ".join(checks)
 
 
+def _rejected_rows() -> str:
+    reports = []
+    for t in TYPES:
+        cases = " ".join(f"WHEN ({c}) IS NOT TRUE THEN '{name}'" for name, c in RULES[t])
+        reports.append(f"SELECT * FROM (SELECT *, CASE {cases} END AS rule FROM canonical_{t}) WHERE rule IS NOT NULL")
+    order = "PARTITION BY record_hash ORDER BY source_file, is_shared_ride"
+    added = "copy, record_hash, ride_key, financial_inconsistency_flag, zero_fare_with_distance_flag"
+    numbered = f"SELECT *, row_number() OVER ({order}) AS copy FROM valid_fhv"
+    reports.append(f"SELECT * EXCLUDE ({added}), 'not_a_duplicate' AS rule FROM ({numbered}) WHERE copy > 1")
+    return " UNION ALL BY NAME ".join(reports)
+
+
 def _removed_by_rule() -> str:
     reports = []
     for t in TYPES:
@@ -467,6 +479,7 @@ def all_sql() -> dict[str, str]:
             for name, number in (("fare_amount", 7), ("trip_distance", 1))
         ),
         "removed_by_rule": _removed_by_rule(),
+        "rejected_rows": _rejected_rows(),
         "flag_overlap": _OVERLAP,
         "mom_change": _CHANGE,
         "hour_extremes": _EXTREMES,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from triplake.config import STORED_KPI_NAMES, TAXI_TYPES, Settings
 from triplake.operators import kpi, quality
 from triplake.operators.fact import fact_trips
+from triplake.operators.rejects import rejected
 from triplake.plans import silver as layer
 from triplake.plans import versions
 from triplake.plans.catalog import create_database, replace_partitions, write_table
@@ -216,6 +217,10 @@ class Pipeline:
     def violations(self) -> DataFrame:
         return quality.violations({taxi_type: self.silver(taxi_type) for taxi_type in TAXI_TYPES}, self.settings)
 
+    def rejected(self) -> DataFrame:
+        """The bronze rows that silver doesn't have, in canonical form, with the first rule each fails."""
+        return rejected({t: to_canonical(self.bronze(t), t) for t in TAXI_TYPES}, self.settings)
+
     def conformance(self) -> DataFrame:
         schemas = {self.names.silver_table(t): self.silver(t).schema for t in TAXI_TYPES}
         return conformance(self.spark, schemas, SILVER)

@@ -12,6 +12,7 @@ from triplake.functions.flags import FLAGS
 from triplake.operators import audit, kpi, quality
 from triplake.operators.dedup import one_per_content
 from triplake.operators.fact import fact_trips
+from triplake.operators.rejects import rejected
 from triplake.operators.rules import first_failed, rules_for
 from triplake.plans import silver as layer
 from triplake.sources import standins
@@ -146,6 +147,7 @@ def all_queries() -> dict[str, Query]:
         "ride_repeats_reissued": _query(lambda at: audit.ride_repeats(at.together(at.reissued))),
         "cast_losses": _query(lambda at: audit.cast_losses(standins.unreadable(at.raw("yellow")), "yellow")),
         "removed_by_rule": _query(lambda at: audit.removed_by_rule(at.each(at.canonical), SETTINGS)),
+        "rejected_rows": _query(lambda at: rejected(at.each(at.canonical), SETTINGS)),
         "flag_overlap": _query(lambda at: audit.flag_overlap(at.together(at.silver))),
         "mom_change": _query(lambda at: audit.month_over_month(kpi.yellow_totals(at.fact()))),
         "hour_extremes": _query(lambda at: audit.hour_extremes(kpi.hourly_passengers(at.fact()))),
