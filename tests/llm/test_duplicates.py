@@ -38,8 +38,13 @@ def words(line):
 
 
 def simhash(ws):
-    hs = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in dict.fromkeys(ws)]
-    return sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in hs) > len(hs))
+    """The blocks' bits, and the number of words in each."""
+    at = [round(64 * i / 5) for i in range(6)]
+    own = [[] for _ in range(5)]
+    for w in dict.fromkeys(ws):
+        h = xxhash.xxh64(w.encode(), seed=42).intdigest()
+        own[(h - (1 << 64) * (h >> 63)) % 5].append(h)
+    return [sum(1 << i for i in range(at[k], at[k + 1]) if 2 * sum(h >> i & 1 for h in own[k]) > len(own[k])) for k in range(5)], [len(x) for x in own]
 
 
 def edits(a, b):
@@ -53,13 +58,11 @@ def edits(a, b):
 
 def brute_lines(docs):
     """Kept text of each (doc_id, text), by the definition in the operator's docstring."""
-    at = [round(64 * i / 5) for i in range(6)]
-    blocks = lambda s: [s >> at[i] & ((1 << at[i + 1] - at[i]) - 1) for i in range(5)]
     lines = {tuple(ws): simhash(ws) for _, t in docs for line in (t or "").split("\n") if (ws := words(line))}
     groups = Groups()
-    for (a, x), (b, y) in combinations(lines.items(), 2):
-        na, nb = len(set(a)), len(set(b))
-        if bin(x ^ y).count("1") <= 8 and min(na, nb) * 2 >= max(na, nb) and sum(p == q for p, q in zip(blocks(x), blocks(y))) >= 2:
+    for (a, (x, n)), (b, (y, m)) in combinations(lines.items(), 2):
+        meet = any(x[i] == y[i] and x[j] == y[j] and all(0 < c[i] + c[j] >= len(set(ws)) // 5 for c, ws in ((n, a), (m, b))) for i, j in combinations(range(5), 2))
+        if meet and bin(sum(x) ^ sum(y)).count("1") <= 18:
             s, t = " ".join(a), " ".join(b)
             if edits(s, t) <= int(max(len(s), len(t)) * (1 - 0.8) + 1e-9):
                 groups.join(a, b)
