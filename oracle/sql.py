@@ -405,8 +405,54 @@ _TOKENS = """
     FROM lineitem GROUP BY 1"""
 
 
+# Each drifting file's columns: common name, own name, own type, common type, status, source column, its value as reread.
+_DRIFT_FILES = {
+    ("lineitem", 1): [
+        ("VendorID", "VendorID", "bigint", "bigint", "same", "l_suppkey", None),
+        ("pickup_datetime", "pickup_datetime", "timestamp_ntz", "timestamp_ntz", "same", "l_shipdate", None),
+        ("trip_distance", "trip_distance", "double", "double", "same", "l_quantity", None),
+        ("total_amount", "total_amount", "double", "double", "same", "l_extendedprice", None),
+        ("tip_amount", "tip_amount", "double", "double", "same", "l_discount", None),
+        ("payment_type", "payment_type", "int", "string", "retyped", "l_linenumber", "CAST(l_linenumber AS VARCHAR)"),
+        ("ehail_fee", None, None, "double", "missing", "NULL", None),
+    ],
+    ("orders", 2): [
+        ("VendorID", "VendorID", "int", "bigint", "retyped", "CAST(o_custkey AS INTEGER)", "CAST(o_custkey AS BIGINT)"),
+        ("pickup_datetime", "pickup_datetime", "timestamp_ntz", "timestamp_ntz", "same", "o_orderdate", None),
+        ("trip_distance", "trip_distance", "bigint", "double", "retyped", "o_orderkey", "CAST(o_orderkey AS DOUBLE)"),
+        ("total_amount", "total_amount", "double", "double", "same", "o_totalprice", None),
+        ("tip_amount", None, None, "double", "missing", "NULL", None),
+        ("payment_type", "payment_type", "string", "string", "same", "o_orderpriority", None),
+        ("ehail_fee", "ehail_fee", "void", "double", "retyped", "NULL", None),
+    ],
+    ("events", 3): [
+        ("VendorID", "vendorid", "bigint", "bigint", "respelled", "user_id", None),
+        ("pickup_datetime", "PICKUP_DATETIME", "timestamp_ntz", "timestamp_ntz", "respelled", "ts", None),
+        ("trip_distance", "Trip_Distance", "double", "double", "respelled", "value", None),
+        ("total_amount", None, None, "double", "missing", "NULL", None),
+        ("tip_amount", None, None, "double", "missing", "NULL", None),
+        ("payment_type", "payment_type", "string", "string", "same", "event_type", None),
+        ("ehail_fee", "ehail_fee", "double", "double", "same", "value", None),
+    ],
+}
+
+
+def _drift_history() -> str:
+    text = lambda value: "CAST(NULL AS VARCHAR)" if value is None else f"'{value}'"
+    rows = []
+    for (table, month), columns in _DRIFT_FILES.items():
+        for name, own, kind, common, status, value, reread in columns:
+            reworded = f"count(*) FILTER (CAST({value} AS VARCHAR) <> CAST({reread} AS VARCHAR))" if reread else "0"
+            rows.append(
+                f"SELECT 'drift_2023-{month:02d}.parquet' AS source_file, 2023 AS file_year, {month} AS file_month, '{name}' AS column_name,"
+                f" {text(own)} AS file_column, {text(kind)} AS file_type, '{common}' AS common_type, '{status}' AS status,"
+                f" count(*) AS n_rows, count({value}) AS n_values, {reworded} AS n_reworded FROM {table}"
+            )
+    return " UNION ALL ".join(rows)
+
+
 def all_sql() -> dict[str, str]:
-    bodies = {"bronze_union_months": _DRIFTED}
+    bodies = {"bronze_union_months": _DRIFTED, "drift_history": _drift_history()}
     for t in TYPES:
         bodies[f"canonical_{t}"] = f"SELECT * FROM canonical_{t}"
         bodies[f"silver_{t}"] = f"SELECT * FROM silver_{t}"

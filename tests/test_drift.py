@@ -1,0 +1,42 @@
+"""The history of a category's schemas, over files and over frames."""
+
+from triplake.config import Settings
+from triplake.operators.drift import drift_history
+from triplake.plans.pipeline import Pipeline
+from triplake.sources.files import MonthFile
+from triplake.sources.ingest import union_months
+
+
+def months_of(spark, *schemas_and_rows):
+    return [(MonthFile("", f"m{k}", 2023, k), spark.createDataFrame(rows, schema)) for k, (schema, rows) in enumerate(schemas_and_rows, 1)]
+
+
+def test_reworded_values_are_counted(spark):
+    months = months_of(
+        spark,
+        ("VendorID int, fee decimal(6,2), seen date, SOURCE_FILE string", [(1, None, None, "own"), (None, None, None, "own")]),
+        ("vendorid double, fee int, seen timestamp_ntz", [(1.5, 3, None)]),
+        ("fee int", []),
+    )
+    rows = {(r.source_file, r.column_name): r for r in drift_history(months).collect()}
+    assert {r.source_file for r in union_months(months).select("source_file").collect()} == {"m1", "m2"}
+    # A file's own lineage column is no column of the source.
+    assert {name for _, name in rows} == {"VendorID", "fee", "seen"} and len(rows) == 9
+    first = rows["m1", "VendorID"]
+    assert (first.file_type, first.common_type, first.status, first.n_rows, first.n_values, first.n_reworded) == ("int", "double", "retyped", 2, 1, 1)
+    second = rows["m2", "VendorID"]
+    assert (second.file_column, second.status, second.n_reworded) == ("vendorid", "respelled", 0)
+    assert (rows["m2", "fee"].common_type, rows["m2", "fee"].n_reworded) == ("decimal(12,2)", 1)
+    assert (rows["m1", "seen"].file_type, rows["m1", "seen"].common_type) == ("date", "timestamp_ntz")
+    assert (rows["m3", "VendorID"].status, rows["m3", "VendorID"].n_rows, rows["m3", "fee"].n_values) == ("missing", 0, 0)
+
+
+def test_landed_files(spark, tmp_path):
+    settings = Settings(landing=str(tmp_path), year_months=((2023, 1), (2023, 2)))
+    for month, kind in ((1, "bigint"), (2, "double")):
+        spark.range(1, 11).selectExpr(f"CAST(id AS {kind}) AS VendorID").write.parquet(f"{tmp_path}/yellow/yellow_tripdata_2023-{month:02d}.parquet")
+    rows = {r.source_file: r for r in Pipeline(spark, settings).drift("yellow").collect()}
+    assert {name: (r.status, r.n_values, r.n_reworded) for name, r in rows.items()} == {
+        "yellow_tripdata_2023-01.parquet": ("retyped", 10, 10),
+        "yellow_tripdata_2023-02.parquet": ("same", 10, 0),
+    }

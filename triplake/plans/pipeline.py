@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from triplake.config import STORED_KPI_NAMES, TAXI_TYPES, Settings
 from triplake.operators import kpi, quality
+from triplake.operators.drift import drift_history
 from triplake.operators.fact import fact_trips
 from triplake.operators.rejects import rejected
 from triplake.plans import silver as layer
@@ -18,7 +19,7 @@ from triplake.schema import SILVER, conformance
 from triplake.session import configure
 from triplake.sources.canonical import to_canonical
 from triplake.sources.files import month_files
-from triplake.sources.ingest import read_months
+from triplake.sources.ingest import month_frames, read_months
 
 
 class Pipeline:
@@ -221,6 +222,10 @@ class Pipeline:
         """The bronze rows that silver doesn't have, in canonical form, with the first rule each fails."""
         return rejected({t: to_canonical(self.bronze(t), t) for t in TAXI_TYPES}, self.settings)
 
+    def drift(self, taxi_type: str) -> DataFrame:
+        """How the landed files of the settings' months differ from their common schema, and the values it rewords."""
+        return drift_history(month_frames(self.spark, month_files(self.settings, taxi_type)))
+
     def conformance(self) -> DataFrame:
         schemas = {self.names.silver_table(t): self.silver(t).schema for t in TAXI_TYPES}
         return conformance(self.spark, schemas, SILVER)

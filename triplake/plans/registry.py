@@ -11,6 +11,7 @@ from triplake.config import TAXI_TYPES
 from triplake.functions.flags import FLAGS
 from triplake.operators import audit, kpi, quality
 from triplake.operators.dedup import one_per_content
+from triplake.operators.drift import drift_history
 from triplake.operators.fact import fact_trips
 from triplake.operators.rejects import rejected
 from triplake.operators.rules import first_failed, rules_for
@@ -92,6 +93,7 @@ def shared_tokens(raw: DataFrame) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     queries: dict[str, Query] = {
         "bronze_union_months": _query(lambda at: standins.drifting_months(at.spark, at.sf_dir)),
+        "drift_history": _query(lambda at: drift_history(standins.drifting_files(at.spark, at.sf_dir))),
     }
     for taxi_type in TAXI_TYPES:
         queries |= _per_type(taxi_type)

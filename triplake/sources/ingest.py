@@ -102,9 +102,14 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return frames[0]
 
 
+def without_lineage(months: Sequence[tuple[MonthFile, DataFrame]]) -> list[tuple[MonthFile, DataFrame]]:
+    """The months without columns that tagging adds."""
+    return [(file, df.drop(*(name for name in df.columns if name.lower() in _LINEAGE))) for file, df in months]
+
+
 def union_months(months: Sequence[tuple[MonthFile, DataFrame]]) -> DataFrame:
     """Bring the months onto their common schema, tag each row with its file, and union them."""
-    months = [(file, df.drop(*(f"`{name}`" for name in df.columns if name.lower() in _LINEAGE))) for file, df in months]
+    months = without_lineage(months)
     schema = common_schema(df.schema for _, df in months)
     return union_all(
         [
@@ -120,8 +125,8 @@ def union_months(months: Sequence[tuple[MonthFile, DataFrame]]) -> DataFrame:
     )
 
 
-def read_months(spark: SparkSession, files: Sequence[MonthFile]) -> DataFrame:
-    """Scan every month's file, or directory of part files, into one tagged frame.
+def month_frames(spark: SparkSession, files: Sequence[MonthFile]) -> list[tuple[MonthFile, DataFrame]]:
+    """Every month's file, or directory of part files, with its own schema.
 
     Finding a file's schema is a small job of its own. They run side by side, as
     one after the other they would hold up years of monthly files for minutes.
@@ -129,4 +134,9 @@ def read_months(spark: SparkSession, files: Sequence[MonthFile]) -> DataFrame:
     reader = spark.read.option("mergeSchema", True)
     with ThreadPoolExecutor(_SCHEMA_READERS) as pool:
         frames = list(pool.map(lambda file: reader.parquet(file.path), files))
-    return union_months(list(zip(files, frames)))
+    return list(zip(files, frames))
+
+
+def read_months(spark: SparkSession, files: Sequence[MonthFile]) -> DataFrame:
+    """Scan every month into one tagged frame."""
+    return union_months(month_frames(spark, files))

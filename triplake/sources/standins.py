@@ -111,7 +111,7 @@ def raw(spark: SparkSession, sf_dir: str, taxi_type: str) -> DataFrame:
     )
 
 
-def drifting_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+def drifting_files(spark: SparkSession, sf_dir: str) -> list[tuple[MonthFile, DataFrame]]:
     """Three months of one category whose files disagree on types, columns and letter case.
 
     Against January, February narrows VendorID, widens payment_type to text, lacks
@@ -142,9 +142,11 @@ def drifting_months(spark: SparkSession, sf_dir: str) -> DataFrame:
             "event_type AS payment_type",
         ),
     }
-    return union_months(
-        [(MonthFile("", f"drift_2023-{month:02d}.parquet", 2023, month), df) for month, df in months.items()]
-    )
+    return [(MonthFile("", f"drift_2023-{month:02d}.parquet", 2023, month), df) for month, df in months.items()]
+
+
+def drifting_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return union_months(drifting_files(spark, sf_dir))
 
 
 def reissued(trips: DataFrame) -> DataFrame:
