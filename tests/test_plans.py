@@ -3,6 +3,7 @@
 import pytest
 
 from tests.conftest import SF_DIR
+from triplake.operators import audit
 from triplake.operators.fact import fact_trips
 from triplake.plans import silver as layer
 from triplake.plans.registry import all_queries
@@ -83,3 +84,11 @@ def test_partitioned_write_does_not_sort(spark, stored):
         assert "Sort" in plan()
     finally:
         spark.conf.set(setting, chosen)
+
+
+def test_copies_are_compared_in_tasks_of_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr(audit, "ROWS_PER_TASK", 100)
+    rows = all_queries()["record_hash"](spark, SF_DIR).count() * 2
+    plan = formatted(QUERIES["varying_fields_reissued"](spark, SF_DIR))
+    assert f", {rows // 100 + 1}), REPARTITION_BY_NUM" in plan
+    assert "Join" not in plan

@@ -24,6 +24,10 @@ MEASURED = [name for name in CANONICAL.fieldNames() if name not in _TECHNICAL]
 OUTSIDE_HASH = [name for name in MEASURED if name not in RECORD_FIELDS]
 
 
+#: Rows that a task of the comparison of copies reads, whatever the input and the session's number of partitions.
+ROWS_PER_TASK = 250_000
+
+
 def n_rows(name: str = "n_trips") -> Column:
     return F.count(F.lit(1)).alias(name)
 
@@ -79,16 +83,18 @@ def provider_share(trips: DataFrame) -> DataFrame:
 def varying_fields(trips: DataFrame, fields: Sequence[str] = tuple(OUTSIDE_HASH)) -> DataFrame:
     """For records sharing a hash: in how many such groups does each remaining field differ?
 
-    Few hashes repeat, so these are found first, from the hash alone; only their
-    rows meet the wide aggregation. Smallest against largest value answers the
-    question without a distinct count per field, which would copy every row
-    once per field.
+    Smallest against largest value answers the question without a distinct count
+    per field, which would copy every row once per field. Rows are exchanged once,
+    by hash, to as many tasks as the rows need: the session's number of partitions
+    is fixed, and a task's share would grow with the input. Found first, repeated
+    hashes would cost a second pass, and a join that Spark moves into every part
+    of the union.
     """
-    digest = F.unhex("record_hash")
-    repeated = trips.groupBy(digest.alias("_digest")).agg(n_rows("_copies")).where("_copies > 1").select("_digest")
+    tasks = trips.count() // ROWS_PER_TASK + 1
     groups = (
-        trips.withColumn("_digest", digest)
-        .join(repeated, "_digest", "left_semi")
+        trips.select("taxi_type", *fields, F.unhex("record_hash").alias("_digest"))
+        .where("_digest IS NOT NULL")
+        .repartition(tasks, "_digest")
         # The hash first: sorting by it compares eight bytes, by category everything ties.
         .groupBy("_digest", "taxi_type")
         .agg(
