@@ -6,7 +6,8 @@ its contiguous occurrences within pieces, per language. All phrases of up to LON
 1. A sample of documents (one in SAMPLE, by a hash) is counted: words, then pairs of frequent words, then longer phrases
    all of whose pairs are frequent. A lower limit than the sample's share of `least` makes a phrase a proposal.
 2. The full pass counts, exactly, every phrase whose first and last words less one are both proposed: these are the proposals
-   themselves and their negative border, so far as it occurs at all.
+   themselves and their negative border, so far as it occurs at all. Most of the border occurs a few times, so it is counted
+   by hash first; only phrases whose hash reaches `least` are spelled out and counted by their text.
 3. A phrase of the border that turns out frequent is a failure of the sample: its extensions were not counted. A further pass
    counts every occurring phrase one word longer whose two halves (all but its last, all but its first word) are frequent and
    one of them a failure; those of them that are frequent are failures again. Passes go on until there is no failure; then
@@ -14,7 +15,9 @@ its contiguous occurrences within pieces, per language. All phrases of up to LON
 
 Tasks count their own texts first: words become numbers, a phrase of k words is the pair (number of its first k - 1 words,
 last word), so numpy counts pairs of integers without any collision, and only distinct phrases leave a task. Spark adds up
-counts by the phrase's text. Proposals reach the tasks as one bit set of a fixed 8 MiB, filled by their hashes: a false
+counts by the phrase's text; in the count by hash, by the 42 upper bits of its hash, which leave a task as sorted 32-bit
+numbers, a row for each of GROUPS shares of the hashes. Phrases that share these bits are counted together there, so none
+is lost. Proposals reach the tasks as one bit set of a fixed 8 MiB, filled by their hashes: a false
 positive counts a phrase in vain, and with very many proposals the filter lets more through, never less.
 
 Memory of a task is bounded by FLUSH characters (and by the longest text); no language or phrase gathers in one task, and the
@@ -55,6 +58,11 @@ BITS = 1 << 26
 HASHES = 4
 _SHIFT = np.uint64(64 - (BITS.bit_length() - 1))
 
+#: Shares of the hashes, by their first bits, in which a task's counts leave it; the next 32 bits tell the hashes of a share apart.
+GROUPS = 1 << 10
+_GROUP_SHIFT = np.uint64(64 - (GROUPS.bit_length() - 1))
+_REST_SHIFT = _GROUP_SHIFT - np.uint64(32)
+
 #: Shares of a language in which its first rows are chosen before they are chosen of all.
 SALTS = 64
 
@@ -156,19 +164,27 @@ def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, starts, np.diff(np.append(starts, len(key)))
 
 
-def bordering(part: Part, lang: str, sizes: range, among: Proposals | None) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """(k, phrases, counts) of the sizes: all words for k = 1; longer ones whose first and last k - 1 words are both in among.
+def _border(part: Part, lang: str, sizes: range, among: Proposals | None) -> Iterator[tuple[int, np.ndarray | None, Callable[[np.ndarray], pa.Array], np.ndarray]]:
+    """(k, hashes, spell, counts) of the sizes: all words for k = 1; longer ones whose first and last k - 1 words are both in
+    among. spell(numbers) gives the texts of those phrases.
 
-    (0, [""], [all words]) comes with k = 1.
+    (0, None, ..., [all words]) comes with k = 1.
     """
     ids, words = part.words()
     if 1 in sizes:
-        yield 0, pa.array([b""], pa.large_binary()), np.array([int((ids >= 0).sum())])
-        yield 1, words, np.bincount(ids[ids >= 0], minlength=len(words))
-    if max(sizes) < 2:
-        return
+        yield 0, None, lambda some: pa.array([b""], pa.large_binary()), np.array([int((ids >= 0).sum())])
     own = hashes = word_hashes(words, _seed(lang))
-    texts, names = words, ids
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def spell(some: np.ndarray, k: int) -> pa.Array:
+        if k == 1:
+            return words.take(pa.array(some))
+        prefix, last = steps[k - 2]
+        return _spelled(spell(prefix[some], k - 1), words.take(pa.array(last[some])))
+
+    if 1 in sizes:
+        yield 1, hashes, lambda some: spell(some, 1), np.bincount(ids[ids >= 0], minlength=len(words))
+    names = ids
     for k in range(2, max(sizes) + 1):
         # One place more, for names below zero.
         names = np.where(np.append(among.holds(hashes), False)[names], names, _BREAK)
@@ -181,14 +197,30 @@ def bordering(part: Part, lang: str, sizes: range, among: Proposals | None) -> I
         first = key[order[starts]]
         del key
         prefix, last = first >> 32, first & 0xFFFFFFFF
-        texts = _spelled(texts.take(pa.array(prefix)), words.take(pa.array(last)))
+        steps.append((prefix.astype(np.int32), last.astype(np.int32)))
+        hashes = _extended(hashes[prefix], own[last])
         if k in sizes:
-            yield k, texts, counts
+            yield k, hashes, lambda some, k=k: spell(some, k), counts
         if k < max(sizes):
-            hashes, names = _extended(hashes[prefix], own[last]), np.full(len(names), _BREAK, np.int32)
+            names = np.full(len(names), _BREAK, np.int32)
             names[at[order]] = np.repeat(np.arange(len(starts), dtype=np.int32), counts)
 
 
+def _upper(h: np.ndarray) -> np.ndarray:
+    """The bits of hashes by which they are counted."""
+    return h >> _REST_SHIFT << _REST_SHIFT
+
+
+def bordering(part: Part, lang: str, sizes: range, among: Proposals | None, likely: Proposals | None = None) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """(k, phrases, counts) of _border, or of those of its phrases whose upper bits are in likely."""
+    for k, hashes, spell, counts in _border(part, lang, sizes, among):
+        some = np.arange(len(counts))
+        if likely is not None and hashes is not None:
+            some = np.flatnonzero(likely.holds(_upper(hashes)))
+        if len(some):
+            yield k, spell(some), counts[some]
+
+
 def extending(part: Part, lang: str, sizes: range, failed: Proposals, frequent: Proposals) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
     """(k, phrases, counts) of the phrases whose first and last k - 1 words are both in frequent and one of them in failed."""
     ids, words = part.words()
@@ -219,6 +251,23 @@ def extending(part: Part, lang: str, sizes: range, failed: Proposals, frequent:
         yield k, texts, counts
 
 
+def _in_parts(flush: Callable[[dict[str, Part]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's texts by language, handed to flush, which empties them, FLUSH bytes at a time."""
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state: dict[str, Part] = {}
+        ready = 0
+        for batch in batches:
+            for lang, text in zip(batch["lang"], batch["text"], strict=True):
+                ready += state.setdefault(lang.as_py(), Part()).add(text.as_py())
+                if ready >= FLUSH:
+                    yield from flush(state)
+                    ready = 0
+        yield from flush(state)
+
+    return parts
+
+
 def count_phrases(docs: DataFrame, sizes: range, *by: Proposals | None, select=bordering) -> DataFrame:
     """lang, words, phrase, n: exact counts over docs(lang, text) of the phrases that select takes by the sets."""
     share = docs.sparkSession.sparkContext.broadcast([s.bits if s is not None else None for s in by])
@@ -233,25 +282,50 @@ def count_phrases(docs: DataFrame, sizes: range, *by: Proposals | None, select=b
                     keys = pc.binary_join_element_wise(phrases[lo : lo + 100_000], of, pa.scalar(b"\t", phrases.type))
                     yield pa.record_batch([keys.cast(pa.large_string()).cast(pa.string()), pa.array(counts[lo : lo + 100_000].astype(np.int64))], names=["key", "n"])
 
-    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state: dict[str, Part] = {}
-        ready = 0
-        for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"], strict=True):
-                ready += state.setdefault(lang.as_py(), Part()).add(text.as_py())
-                if ready >= FLUSH:
-                    yield from flush(state)
-                    ready = 0
-        yield from flush(state)
-
     # One short key for phrase and language, as words hold no tab: rows of the exchange are a third smaller. A task's phrases
     # are distinct already, so they are not added up again before it.
-    found = docs.select("lang", "text").mapInArrow(parts, "key string, n long").repartition("key")
+    found = docs.select("lang", "text").mapInArrow(_in_parts(flush), "key string, n long").repartition("key")
     found = found.groupBy("key").agg(F.sum("n").alias("n")).withColumn("phrase", F.substring_index("key", "\t", 1))
     words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ", -1))).alias("words")
     return found.select(F.substr(F.col("key"), F.length("phrase") + 2).alias("lang"), words, "phrase", "n")
 
 
+def likely_frequent(docs: DataFrame, sizes: range, among: Proposals, least: int) -> Proposals:
+    """The upper bits of the hashes of all phrases that bordering takes over docs(lang, text) and that occur `least` times."""
+    share = docs.sparkSession.sparkContext.broadcast(among.bits)
+    # A count of `least` in one task is enough, so greater ones are not told.
+    kind = np.uint8 if least < 2**8 else np.uint32 if least < 2**32 else np.uint64
+
+    def flush(state: dict[str, Part]) -> Iterator[pa.RecordBatch]:
+        hashes, counts = [], []
+        while state:
+            lang, part = state.popitem()
+            for _, h, _, n in _border(part, lang, sizes, Proposals(share.value)):
+                if h is not None:
+                    hashes.append(h >> _REST_SHIFT)
+                    counts.append(np.minimum(n, least).astype(kind))
+        key, n = np.concatenate(hashes or [np.zeros(0, np.uint64)]), np.concatenate(counts or [np.zeros(0, kind)])
+        if not len(key):
+            return
+        order = np.argsort(key)
+        key, n = key[order], n[order]
+        group = key >> np.uint64(32)
+        starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        ends = np.append(starts, len(key)).astype(np.int64)
+        told = lambda x: pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends * x.itemsize), pa.py_buffer(x)]).cast(pa.binary())
+        yield pa.record_batch([pa.array(group[starts].astype(np.int32)), told(key.astype(np.uint32)), told(n)], names=["group", "rest", "n"])
+
+    def reached(b: pd.DataFrame) -> pd.DataFrame:
+        rest = np.concatenate([np.frombuffer(x, np.uint32) for x in b["rest"]])
+        n = np.concatenate([np.frombuffer(x, kind) for x in b["n"]]).astype(np.int64)
+        order, starts, _ = _runs(rest)
+        h = rest[order[starts]][np.add.reduceat(n[order], starts) >= least].astype(np.uint64)
+        return _words_of_bits((np.uint64(b["group"].iloc[0]) << np.uint64(32) | h) << _REST_SHIFT)
+
+    told = docs.select("lang", "text").mapInArrow(_in_parts(flush), "group int, rest binary, n binary")
+    return _collected(told.groupBy("group").applyInPandas(reached, "word long, bits long"))
+
+
 def phrase_hashes(lang: pd.Series, phrase: pd.Series) -> np.ndarray:
     """The hashes that tasks give to phrases, from their texts."""
     split = pc.split_pattern(pa.array(phrase.tolist(), pa.large_string()).cast(pa.large_binary()), b" ")
@@ -268,22 +342,31 @@ def phrase_hashes(lang: pd.Series, phrase: pd.Series) -> np.ndarray:
     return out
 
 
-def proposed(found: DataFrame, before: Proposals | None = None) -> Proposals:
-    """before and the phrases of found. What comes to the driver is the set itself, at most BITS / 64 words."""
+def _words_of_bits(h: np.ndarray) -> pd.DataFrame:
+    """The places of hashes in a set, as bits of its 64-bit words."""
+    p = np.concatenate(list(Proposals.places(h))).astype(np.int64)
+    return pd.DataFrame({"word": p >> 6, "bits": np.uint64(1).astype(np.int64) << (p & 63)})
 
-    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if len(b):
-                p = np.concatenate(list(Proposals.places(phrase_hashes(b.lang, b.phrase)))).astype(np.int64)
-                yield pd.DataFrame({"word": p >> 6, "bits": np.uint64(1).astype(np.int64) << (p & 63)})
 
-    words = found.select("lang", "phrase").mapInPandas(places, "word long, bits long")
+def _collected(words: DataFrame, before: Proposals | None = None) -> Proposals:
+    """before and the places of words(word, bits). What comes to the driver is the set itself, at most BITS / 64 words."""
     rows = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     bits = np.zeros(BITS // 64, np.int64) if before is None else before.bits.view(np.int64).copy()
     bits[rows["word"].to_numpy()] |= rows["bits"].to_numpy()
     return Proposals(bits.view(np.uint8))
 
 
+def proposed(found: DataFrame, before: Proposals | None = None) -> Proposals:
+    """before and the phrases of found."""
+
+    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                yield _words_of_bits(phrase_hashes(b.lang, b.phrase))
+
+    return _collected(found.select("lang", "phrase").mapInPandas(places, "word long, bits long"), before)
+
+
 def not_proposed(found: DataFrame, by: Proposals) -> DataFrame:
     share = found.sparkSession.sparkContext.broadcast(by.bits)
 
@@ -309,7 +392,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
             found = count_phrases(some, sizes, proposals).where((F.col("n") >= limit) & (F.col("words") > 0))
             proposals = proposed(found, proposals)
     kept = (F.col("n") >= least) | (F.col("words") == 0)
-    found = stored(count_phrases(docs, range(1, longest + 1), proposals).where(kept))
+    sizes = range(1, longest + 1)
+    found = stored(count_phrases(docs, sizes, proposals, likely_frequent(docs, sizes, proposals, least)).where(kept))
     shorter = (F.col("words") > 0) & (F.col("words") < longest)
     failed = stored(not_proposed(found.where(shorter), proposals))
     while True:
