@@ -12,7 +12,8 @@ Items without a window, and lengths that MOST_REPETITIONS do not suffice for, ar
 more than the edits allowed, one is left as it is. Every place that holds such a piece is a candidate.
 
 A candidate is verified exactly: the least edit distance between the item and any substring of the document around
-it, by a bit-parallel dynamic programme. A document holds an item if that distance is at most (1 - similarity) times
+it, by a bit-parallel dynamic programme. An edit spoils at most GRAM of an item's runs of GRAM characters and
+moves the rest by one, so places that hold too few of them, as far apart as in the item up to the edits allowed, go before. A document holds an item if that distance is at most (1 - similarity) times
 the item's length. Texts are compared in lower case with white space collapsed.
 
 Items are searched for in blocks of at most BLOCK: a block's tables have a fixed bound and go to every task; each block
@@ -37,7 +38,10 @@ STEPS = 40
 SAMPLED = 10
 
 #: Sampled places after which windows without a partner so far are given up.
-FIRST = 6
+FIRST = (4, 6)
+
+#: Characters of the runs that a candidate's place must share with the item.
+GRAM = 3
 
 #: Edited copies tried for each class of lengths, and the width and number of the classes.
 TRIED = 100
@@ -71,40 +75,70 @@ class Walks:
     def __init__(self, repetitions: int = MOST_REPETITIONS, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.bits = rng.integers(0, 2, (repetitions, STEPS, 256), dtype=np.uint8)
+        self._jumps: dict[tuple[int, int], np.ndarray] = {}
         width = STEPS // SAMPLED
         self.places = [[int(k * width + rng.integers(width)) for k in range(SAMPLED)] for _ in range(repetitions)]
 
-    def keys(self, c: np.ndarray, starts: np.ndarray, r: int, hopeful=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts that stay, their first keys and their keys. c ends with STEPS zeros; hopeful(first keys) tells who stays."""
-        at, key = starts.astype(np.int32), np.zeros(len(starts), np.uint64)
-        first = key
-        wanted = set(self.places[r])
-        n = 0
-        for j in range(self.places[r][-1] + 1):
-            symbol = c[at]
-            if j in wanted:
-                key = key * np.uint64(0x100000001B3) ^ symbol
-                n += 1
-                if n == FIRST:
-                    first = key
-                    if hopeful is not None:
-                        stays = hopeful(first)
-                        starts, at, key, first, symbol = starts[stays], at[stays], key[stays], first[stays], symbol[stays]
-            at = at + self.bits[r, j][symbol]
+    def jump(self, r: int, j: int) -> np.ndarray:
+        """Characters that steps j and j + 1 advance, by the pair of characters at the place (first + 256 * second)."""
+        if (r, j) not in self._jumps:
+            now, then = self.bits[r, j], self.bits[r, j + 1]
+            self._jumps[r, j] = np.where(now, 1 + then[:, None], then).ravel().astype(np.uint8)
+        return self._jumps[r, j]
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_jumps": {}}
+
+    def keys(self, c: np.ndarray, starts: np.ndarray, r: int, hopeful=None) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+        """Starts that stay, their keys after each of FIRST, and their keys. c ends with STEPS zeros; hopeful(n, keys so far)
+        tells who stays after the n-th of FIRST.
+
+        Two steps at a time, but a sampled place begins anew: its character is the first of the pair at the place.
+        """
+        pairs = c.astype(np.uint16)
+        pairs[:-1] |= pairs[1:] << 8
+        at, key = starts.astype(np.int64), np.zeros(len(starts), np.uint64)
+        first: list[np.ndarray] = []
+        places = self.places[r]
+        j = 0
+        for n, place in enumerate(places):
+            while j < place:
+                pair = pairs[at]
+                if j + 1 < place:
+                    at += self.jump(r, j)[pair]
+                    j += 2
+                else:
+                    at += self.bits[r, j][pair.astype(np.uint8)]
+                    j += 1
+            pair = pairs[at]
+            key = key * np.uint64(0x100000001B3) ^ (pair & np.uint16(255))
+            if n + 1 in FIRST:
+                first.append(key)
+                if hopeful is not None:
+                    stays = hopeful(len(first) - 1, key)
+                    starts, at, key, pair = starts[stays], at[stays], key[stays], pair[stays]
+                    first = [x[stays] for x in first]
+            if n + 1 == len(places):
+                break
+            if places[n + 1] > place + 1:
+                at += self.jump(r, place)[pair]
+                j = place + 2
+            else:
+                at += self.bits[r, place][pair.astype(np.uint8)]
+                j = place + 1
         return starts, first, key
 
 
 def infix_distance(item: str, text: str, most: int) -> tuple[int, int]:
     """The least edit distance of item to a substring of text, and where that ends; (most + 1, -1) if it is larger."""
-    peq: dict[str, int] = {}
+    peq = dict.fromkeys(text, 0)
     for i, ch in enumerate(item):
         peq[ch] = peq.get(ch, 0) | (1 << i)
     m = len(item)
     mask, high = (1 << m) - 1, 1 << (m - 1)
     pv, mv, score = mask, 0, m
     best, end = (m, 0) if m <= most else (most + 1, -1)
-    for j, ch in enumerate(text):
-        eq = peq.get(ch, 0)
+    for j, eq in enumerate(map(peq.__getitem__, text)):
         xv = eq | mv
         xh = (((eq & pv) + pv) ^ pv) | eq
         ph = mv | (~(xh | pv) & mask)
@@ -185,12 +219,21 @@ class Items:
             own = np.flatnonzero(self.repetitions[self.owner] > r)
             _, first, key = self.walks.keys(whole, starts[own], r)
             bits = min(22, max(12, (64 * len(key)).bit_length()))
-            early, late = np.zeros(1 << bits, bool), np.zeros(1 << bits, bool)
-            early[self._short(first, bits)] = True
+            early, late = np.zeros((len(FIRST), 1 << bits), bool), np.zeros(1 << bits, bool)
+            for n, keys in enumerate(first):
+                early[n, self._short(keys, bits)] = True
             late[self._short(key, bits)] = True
             order = np.argsort(key, kind="stable")
             self.tables.append((bits, early, late, key[order], own[order]))
         self._pieces()
+        #: Each item's distinct runs, sorted, where each begins in the list of their places, how often it occurs, and that list.
+        runs = [self._grams(codes(t), GRAM) for _, t in self.items]
+        self.runs = []
+        for x in runs:
+            places = np.argsort(x, kind="stable")
+            own, firsts, times = np.unique(x[places], return_index=True, return_counts=True)
+            self.runs.append((own, firsts, times, places))
+        self.least = [len(x) - GRAM * self._most(k) for k, x in enumerate(runs)]
 
     def _pieces(self) -> None:
         """For each length of pieces: a table of their hashes, the sorted pieces, their items and their places there."""
@@ -235,7 +278,7 @@ class Items:
             return np.repeat(own, times), np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
 
         for r, (bits, early, late, keys, order) in enumerate(self.tables):
-            own, _, key = self.walks.keys(c, starts, r, lambda first, early=early, bits=bits: early[self._short(first, bits)])
+            own, _, key = self.walks.keys(c, starts, r, lambda n, first, early=early, bits=bits: early[n, self._short(first, bits)])
             likely = late[self._short(key, bits)]
             at, n = partners(own[likely], key[likely], keys)
             found.append(np.stack([self.owner[order[n]], (at - self.offset[order[n]]) // 32]))
@@ -262,15 +305,16 @@ class Items:
             parts = [codes(normed[g]) for g in group]
             begins = np.cumsum([0, *(len(p) + STEPS for p in parts)])
             whole = np.concatenate([x for p in parts for x in (p, pad)])
+            runs = self._grams(whole, GRAM)
             for item, at in self.candidates(whole):
                 # The place is one of 32; near the edge of a text both texts come into question.
                 for n in range(int(np.searchsorted(begins, max(at, 0), side="right")) - 1, int(np.searchsorted(begins, at + 31, side="right"))):
                     if 0 <= n < len(group):
-                        self._verify(item, normed[group[n]], at - int(begins[n]), out[group[n]])
+                        self._verify(item, normed[group[n]], runs[begins[n] :], at - int(begins[n]), out[group[n]])
             group, size = [], 0
         return out
 
-    def _verify(self, item: int, text: str, at: int, found: dict[int, tuple[int, int]]) -> None:
+    def _verify(self, item: int, text: str, runs: np.ndarray, at: int, found: dict[int, tuple[int, int]]) -> None:
         wanted = self.items[item][1]
         most = self._most(item)
         if item in found and found[item][0] == 0:
@@ -284,11 +328,43 @@ class Items:
                 place = near.find(wanted, place + 1)
             if place < 0:
                 return
+        if place < 0 and self.least[item] > 0 and not self._alike(item, runs[low : low + max(0, len(near) - GRAM + 1)]):
+            return
         distance, end = (0, place + len(wanted)) if place >= 0 else infix_distance(wanted, near, most)
         if distance <= most and (item not in found or distance < found[item][0]):
             found[item] = (distance, low + end)
 
 
+    def _alike(self, item: int, near: np.ndarray) -> bool:
+        """Whether so many of the item's runs are among near, the runs of a part of a text, as a match holds.
+
+        From one run that a match leaves as it is to another, the places in item and text drift apart by no more than the
+        edits allowed, so all of them are in one band of drifts. Drifts are told by thirds of the edits allowed.
+        """
+        own, firsts, times, places = self.runs[item]
+        most = self._most(item)
+        n = np.minimum(np.searchsorted(own, near), len(own) - 1)
+        at = np.flatnonzero(own[n] == near)
+        if len(at) == 0:
+            return False
+        n = n[at]
+        often = times[n]
+        ends = np.cumsum(often)
+        place = places[np.repeat(firsts[n] - ends + often, often) + np.arange(ends[-1])]
+        width = max(1, most // 3)
+        drift = (np.repeat(at, often) - place + len(places)) // width
+        drift -= drift.min()
+        band = -(-most // width) + 1
+        held = np.zeros((max(int(drift.max()) + 1, band), len(places)), bool)
+        held[drift, place] = True
+        joined = 1
+        while joined < band:
+            step = min(joined, band - joined)
+            held = held[:-step] | held[step:]
+            joined += step
+        return int(held.sum(axis=1).max()) >= self.least[item]
+
+
 def blocks(items: DataFrame, similarity: float = SIMILARITY, target_recall: float = TARGET_RECALL) -> Iterator[Items]:
     """The items (item_id, text), BLOCK at a time."""
     ids, texts = [], []
