@@ -2,7 +2,7 @@
 
 A document's set holds the hashes of its distinct word shingles. Two sets of n and m members reach the similarity only if
 they share t members, and no partner of a set of n shares fewer than T. As in DivideSkip, a document's inverted lists are
-divided by length, which is an exact count of the distinct sets that hold a member: the long ones are set aside, the
+divided by length, the number of distinct sets that hold a member (by 44 bits of its hash): the long ones are set aside, the
 n - T + c shortest are merged. Of any partner's members at least one is in the first n - T + 1 lists, which bring the
 candidates together (lists of one set name no candidate and are dropped), and at least c + t - T are in all short lists.
 So the short lists of two candidates are merged first and the occurrences counted; the few pairs that reach that number are
@@ -41,6 +41,9 @@ PERCENT = 90
 #: Share of the hash space whose lists are counted, as a multiple of the share of a set that a partner may lack.
 COUNTED = 2.5
 
+#: Low bits of a hash that give way to its list's length; its 64 - LENGTH_BITS upper bits tell the lists apart.
+LENGTH_BITS = 20
+
 #: One in so many of the T shared members is asked of the short lists (c); more lengthens them and leaves fewer pairs.
 MERGED = 16
 
@@ -126,6 +129,51 @@ def enough(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return shared >= needed
 
 
+def upper(members: np.ndarray) -> np.ndarray:
+    """The upper 44 bits of hashes, counted from the smallest hash on; sorted as the hashes are."""
+    return (members.view(np.uint64) ^ np.uint64(2**63)) >> np.uint64(LENGTH_BITS)
+
+
+def counted(some: np.ndarray, percent: int) -> np.ndarray:
+    return some[: np.searchsorted(some, counted_below(percent))]
+
+
+def held_by_several(classes: DataFrame, percent: int) -> DataFrame:
+    """node, member, length: the counted members of classes(node, some), by their upper bits, that several nodes hold.
+
+    Members and nodes meet in one exchange, packed: a row holds what the sets of a batch have in one share of the hashes, the
+    first 12 bits, as 32 bits a member and its node. Members of equal upper bits are counted as one, in all sets alike.
+    """
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            some = [counted(s, percent) for s in b.some]
+            sizes = [len(s) for s in some]
+            if not sum(sizes):
+                continue
+            member, node = upper(np.concatenate(some)), np.repeat(b.node.to_numpy(), sizes)
+            order = np.argsort(member)
+            member, node = member[order], node[order]
+            share = member >> np.uint64(32)
+            starts = np.flatnonzero(np.append(True, share[1:] != share[:-1])).tolist()
+            parts = list(zip(starts, [*starts[1:], len(share)], strict=True))
+            rest = member.astype(np.uint32)
+            yield pd.DataFrame({"share": share[starts].astype(np.int32), "members": [rest[i:j].tobytes() for i, j in parts], "nodes": [node[i:j].tobytes() for i, j in parts]})
+
+    def met(b: pd.DataFrame) -> pd.DataFrame:
+        member, node = np.frombuffer(b"".join(b.members), np.uint32), np.frombuffer(b"".join(b.nodes), np.int64)
+        order = np.argsort(member)
+        member, node = member[order], node[order]
+        times = np.diff(np.append(np.flatnonzero(np.append(True, member[1:] != member[:-1])), len(member)))
+        length = np.repeat(times, times)
+        several = length > 1
+        whole = np.int64(b["share"].iloc[0]) << np.int64(32) | member[several].astype(np.int64)
+        return pd.DataFrame({"node": node[several], "member": whole, "length": length[several]})
+
+    rows = classes.select("node", "some").mapInPandas(packed, "share int, members binary, nodes binary")
+    return rows.groupBy("share").applyInPandas(met, "node long, member long, length long")
+
+
 def similar_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row for each row of docs(doc_id, text): doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
@@ -145,19 +193,21 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
     of = lambda c: F.min_by(c, "_id").alias(c)
     classes = sets.where("n > 0").groupBy("key").agg(F.min("_id").alias("_id"), F.count(F.lit(1)).cast("int").alias("times"), of("n"), of("some"))
     classes = stored(classes.select(F.xxhash64("key").alias("node"), "_id", "times", "n", "some"))
-    held = classes.select("node", F.explode("some").alias("member")).where(F.col("member") < F.lit(counted_below(percent)))
-    lengths = held.groupBy("member").agg(F.count(F.lit(1)).alias("length")).where("length > 1")
     # A set's own members come back to it, no more than it has.
-    shared = held.join(lengths, "member").groupBy("node").agg(F.collect_list(F.struct("member", "length")).alias("shared"))
-    shared = shared.select("node", F.col("shared.member").alias("shared"), F.col("shared.length").alias("lengths"))
+    # Upper bits and length come as one number; lengths beyond its low bits are equally long, in all sets alike.
+    entry = F.shiftleft("member", LENGTH_BITS).bitwiseOR(F.least("length", F.lit(2**LENGTH_BITS - 1)))
+    shared = held_by_several(classes, percent).select("node", entry.alias("entry")).groupBy("node").agg(F.collect_list("entry").alias("shared"))
     no = F.array().cast("array<long>")
 
     def divide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            lists = [divided(s, n, x, y, percent) for s, n, x, y in zip(b.some, b.n, b.shared, b.lengths, strict=True)]
+            lists = []
+            for s, n, x in zip(b.some, b.n, b.shared, strict=True):
+                own, told = counted(s, percent), x.view(np.uint64) >> np.uint64(LENGTH_BITS)
+                lists.append(divided(s, n, own[np.searchsorted(upper(own), told)], x & (2**LENGTH_BITS - 1), percent))
             yield b[["node", "_id", "times", "n"]].assign(short=[x for x, _ in lists], bring=[y for _, y in lists])
 
-    found = classes.join(shared, "node", "left").withColumns({c: F.coalesce(c, no) for c in ("shared", "lengths")})
+    found = classes.join(shared, "node", "left").withColumn("shared", F.coalesce("shared", no))
     own = stored(found.mapInPandas(divide, "node long, _id long, times int, n int, short array<long>, bring array<long>"))
     postings = own.select(F.explode("bring").alias("bucket"), "node", (-F.col("times")).alias("rank"), F.col("n").alias("info"))
 
