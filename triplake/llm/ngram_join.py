@@ -13,6 +13,12 @@ All documents must divide their lists by one order of the shingles. Lists are co
 below a limit, a share of the hash space that grows with what partners may lack (COUNTED); they come first, by count, the
 other hashes after them, by value. The order affects speed alone; any order gives every link.
 
+The first shared member of sets of n and m, in that order, has t - 1 shared ones behind it in both, so it stands in the first
+n - t + 1 of the one and m - t + 1 of the other: a pair is a candidate only by a list that has such places in both. Sets whose
+lists still mix groups after a round of centres (texts around one text, but not linked to it) are ordered anew, all their
+members counted among them alone. What one of them has for itself comes first then, and as unlinked sets have much of that,
+hardly any two meet.
+
 Copies of one set are one class before any list is made. A list is compared as `graph.linked` does: groups of near
 copies are joined through centres, not pair by pair, and lose no link between classes.
 
@@ -23,7 +29,7 @@ a null id is the smallest id; other columns play no part.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triplake.llm.graph import components, linked
-from triplake.llm.shared import known_id, public_id, semi, stored
+from triplake.llm.shared import known_id, public_id, semi, settled, stored
 from triplake.llm.words import MEMORY
 
 SHINGLE = 3
@@ -96,19 +102,21 @@ def leading(members: np.ndarray, percent: int) -> np.ndarray:
     return members[: max(least, int(np.searchsorted(members, counted_below(percent))))]
 
 
-def divided(some: np.ndarray, n: int, shared: np.ndarray, lengths: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Members of the short lists, sorted, and those of them whose lists bring candidates.
+def divided(some: np.ndarray, n: int, shared: np.ndarray, lengths: np.ndarray, percent: int, below: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Members of the short lists, sorted, and those of them whose lists bring candidates, with their places in the order.
 
-    some: the set's leading members; shared: the counted ones that other sets hold too, with their lists' lengths.
+    some: the set's leading members; shared: the counted ones, below a limit (counted_below(percent) if none is given),
+    that other sets hold too, with their lists' lengths.
     """
+    below = counted_below(percent) if below is None else below
     length = np.ones(len(some), np.int64)
     length[np.searchsorted(some, shared)] = lengths
-    uncounted = some >= counted_below(percent)
+    uncounted = some >= below
     order = np.lexsort((some, length, uncounted))
     first = n - least_shared(n, percent) + 1
     bring = order[:first]
-    bring = bring[(length[bring] > 1) | uncounted[bring]]
-    return np.sort(some[order[: first - 1 + asked(n, percent)]]), some[bring]
+    place = np.flatnonzero((length[bring] > 1) | uncounted[bring])
+    return np.sort(some[order[: first - 1 + asked(n, percent)]]), some[bring[place]], place.astype(np.int32)
 
 
 def enough(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -134,20 +142,23 @@ def upper(members: np.ndarray) -> np.ndarray:
     return (members.view(np.uint64) ^ np.uint64(2**63)) >> np.uint64(LENGTH_BITS)
 
 
-def counted(some: np.ndarray, percent: int) -> np.ndarray:
-    return some[: np.searchsorted(some, counted_below(percent))]
+def counted(some: np.ndarray, below: int) -> np.ndarray:
+    return some[: np.searchsorted(some, below)]
 
 
-def held_by_several(classes: DataFrame, percent: int) -> DataFrame:
+def held_by_several(classes: DataFrame, percent: int, below: int | None = None) -> DataFrame:
     """node, member, length: the counted members of classes(node, some), by their upper bits, that several nodes hold.
 
+    Counted are the hashes below a limit, counted_below(percent) if none is given.
+
     Members and nodes meet in one exchange, packed: a row holds what the sets of a batch have in one share of the hashes, the
     first 12 bits, as 32 bits a member and its node. Members of equal upper bits are counted as one, in all sets alike.
     """
+    below = counted_below(percent) if below is None else below
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            some = [counted(s, percent) for s in b.some]
+            some = [counted(s, below) for s in b.some]
             sizes = [len(s) for s in some]
             if not sum(sizes):
                 continue
@@ -174,6 +185,29 @@ def held_by_several(classes: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("share").applyInPandas(met, "node long, member long, length long")
 
 
+def divided_lists(classes: DataFrame, percent: int, below: int) -> DataFrame:
+    """node, _id, times, n, short, bring, place of classes(node, _id, times, n, some), by the lists' lengths in them."""
+    # A set's own members come back to it, no more than it has.
+    # Upper bits and length come as one number; lengths beyond its low bits are equally long, in all sets alike.
+    entry = F.shiftleft("member", LENGTH_BITS).bitwiseOR(F.least("length", F.lit(2**LENGTH_BITS - 1)))
+    shared = held_by_several(classes, percent, below).select("node", entry.alias("entry")).groupBy("node").agg(F.collect_list("entry").alias("shared"))
+    no = F.array().cast("array<long>")
+
+    def divide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            lists = []
+            for s, n, x in zip(b.some, b.n, b.shared, strict=True):
+                own, x = counted(s, below), np.unique(x.view(np.uint64))
+                # All members of equal upper bits have their list's length.
+                at = np.searchsorted(x >> np.uint64(LENGTH_BITS), upper(own))
+                held = np.append(x >> np.uint64(LENGTH_BITS), np.uint64(2**63))[at] == upper(own)
+                lists.append(divided(s, n, own[held], (x[at[held]] & np.uint64(2**LENGTH_BITS - 1)).astype(np.int64), percent, below))
+            yield b[["node", "_id", "times", "n"]].assign(short=[x for x, _, _ in lists], bring=[y for _, y, _ in lists], place=[z for _, _, z in lists])
+
+    found = classes.join(shared, "node", "left").withColumn("shared", F.coalesce("shared", no))
+    return found.mapInPandas(divide, "node long, _id long, times int, n int, short array<long>, bring array<long>, place array<int>")
+
+
 def similar_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row for each row of docs(doc_id, text): doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
@@ -189,30 +223,40 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
             yield pd.DataFrame(rows, columns=["_id", "n", "key", "some"])
 
     sets = stored(texts.mapInPandas(summed, "_id long, n int, key binary, some array<long>"))
+    groups = settled(lambda: class_groups(texts, sets, size, percent))
+    # From classes to documents: rows of an id belong together, and so do rows of a class.
+    cls = F.coalesce("component", F.xxhash64("key"))
+    rows = stored(sets.select("_id", "n", "key").join(groups.withColumnRenamed("node", "cls"), F.xxhash64("key") == F.col("cls"), "left").select("_id", "n", F.when(F.col("n") > 0, cls).alias("cls")))
+    several = rows.where("cls is not null").groupBy("_id").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).where("a <> b")
+    least = rows.where("cls is not null").groupBy("cls").agg(F.min("_id").alias("least"))
+    if several.limit(1).count():
+        pairs = rows.where("cls is not null").join(several.select("_id", "a"), "_id").select("a", F.col("cls").alias("b"))
+        joined = components(pairs)
+        least = least.join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        best = least.groupBy("component").agg(F.min("least").alias("best"))
+        least = least.join(best, "component").select("cls", F.col("best").alias("least"))
+    out = rows.join(least, "cls", "left").select("_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "_id").alias("_component"))
+    return out.select(public_id("_id").alias("doc_id"), "n_shingles", public_id("_component").alias("component_id"))
+
+
+def class_groups(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
+    """(node, component) of the classes of equal sets(_id, n, key, some) that are linked to another; node is the key's hash."""
     # One row a set: its smallest document stands for it, and its lists are made once.
     of = lambda c: F.min_by(c, "_id").alias(c)
     classes = sets.where("n > 0").groupBy("key").agg(F.min("_id").alias("_id"), F.count(F.lit(1)).cast("int").alias("times"), of("n"), of("some"))
     classes = stored(classes.select(F.xxhash64("key").alias("node"), "_id", "times", "n", "some"))
-    # A set's own members come back to it, no more than it has.
-    # Upper bits and length come as one number; lengths beyond its low bits are equally long, in all sets alike.
-    entry = F.shiftleft("member", LENGTH_BITS).bitwiseOR(F.least("length", F.lit(2**LENGTH_BITS - 1)))
-    shared = held_by_several(classes, percent).select("node", entry.alias("entry")).groupBy("node").agg(F.collect_list("entry").alias("shared"))
-    no = F.array().cast("array<long>")
+    own = stored(divided_lists(classes, percent, counted_below(percent)))
 
-    def divide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            lists = []
-            for s, n, x in zip(b.some, b.n, b.shared, strict=True):
-                own, told = counted(s, percent), x.view(np.uint64) >> np.uint64(LENGTH_BITS)
-                lists.append(divided(s, n, own[np.searchsorted(upper(own), told)], x & (2**LENGTH_BITS - 1), percent))
-            yield b[["node", "_id", "times", "n"]].assign(short=[x for x, _ in lists], bring=[y for _, y in lists])
-
-    found = classes.join(shared, "node", "left").withColumn("shared", F.coalesce("shared", no))
-    own = stored(found.mapInPandas(divide, "node long, _id long, times int, n int, short array<long>, bring array<long>"))
-    postings = own.select(F.explode("bring").alias("bucket"), "node", (-F.col("times")).alias("rank"), F.col("n").alias("info"))
+    def postings(lists: DataFrame) -> DataFrame:
+        each = lists.select(F.posexplode("bring").alias("at", "bucket"), "node", (-F.col("times")).alias("rank"), "n", "place")
+        return each.select("bucket", "node", "rank", F.struct("n", F.col("place")[F.col("at")].alias("place")).alias("info"))
 
     def fits(a: str, b: str) -> Column:
-        return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+        """Sets that must share t members meet in the first n - t + 1 lists of both."""
+        n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+        t = F.expr(f"cast(ceil({percent}L * ({a}.n + {b}.n) / {100 + percent}) AS int)")
+        near = F.least(n, m) * 100 >= F.greatest(n, m) * percent
+        return near & (F.col(f"{a}.place") <= n - t) & (F.col(f"{b}.place") <= m - t)
 
     def merged(pairs: DataFrame) -> DataFrame:
         """Pairs that occur together in as many short lists as a link needs."""
@@ -226,6 +270,18 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = merged(pairs)
         nodes = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(own.select("node", "_id"), "node"))
+        full = whole_sets(nodes)
+        side = lambda c: full.select(F.col("node").alias(c), F.col("s").alias(f"s{c}"))
+
+        def reached(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                good = [enough(x, y, percent) for x, y in zip(b.sa, b.sb, strict=True)]
+                yield b.loc[good, ["a", "b"]]
+
+        return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInPandas(reached, "a long, b long")
+
+    def whole_sets(nodes: DataFrame) -> DataFrame:
+        """node, s: the whole sets of nodes(node, _id)."""
 
         def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             known: dict = {}
@@ -236,27 +292,12 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
         full = semi(texts.where("text is not null"), nodes, "_id").select("text").mapInPandas(members, "key binary, s array<long>")
         # Other rows of these ids have other sets; rows that repeat id and text give their set once.
         # Not stored: its one exchange serves both sides of the pairs.
-        full = semi(full.select(F.xxhash64("key").alias("node"), "s"), nodes, "node").dropDuplicates(["node"])
-        side = lambda c: full.select(F.col("node").alias(c), F.col("s").alias(f"s{c}"))
-
-        def reached(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                good = [enough(x, y, percent) for x, y in zip(b.sa, b.sb, strict=True)]
-                yield b.loc[good, ["a", "b"]]
+        return semi(full.select(F.xxhash64("key").alias("node"), "s"), nodes, "node").dropDuplicates(["node"])
 
-        return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInPandas(reached, "a long, b long")
+    def again(rows: DataFrame) -> tuple[DataFrame, Callable[[str, str], Column]]:
+        """All lists of the sets in rows, whatever their hash, counted among these sets alone: what few of them hold comes first."""
+        nodes = stored(rows.select("node").distinct().join(own.select("node", "_id", "times"), "node"))
+        some = stored(whole_sets(nodes).join(nodes, "node").select("node", "_id", "times", F.size("s").alias("n"), F.col("s").alias("some")))
+        return postings(divided_lists(some, percent, 2**63 - 1)), fits
 
-    groups = linked(postings, fits, verify)
-    # From classes to documents: rows of an id belong together, and so do rows of a class.
-    cls = F.coalesce("component", F.xxhash64("key"))
-    rows = stored(sets.select("_id", "n", "key").join(groups.withColumnRenamed("node", "cls"), F.xxhash64("key") == F.col("cls"), "left").select("_id", "n", F.when(F.col("n") > 0, cls).alias("cls")))
-    several = rows.where("cls is not null").groupBy("_id").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).where("a <> b")
-    least = rows.where("cls is not null").groupBy("cls").agg(F.min("_id").alias("least"))
-    if several.limit(1).count():
-        pairs = rows.where("cls is not null").join(several.select("_id", "a"), "_id").select("a", F.col("cls").alias("b"))
-        joined = components(pairs)
-        least = least.join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-        best = least.groupBy("component").agg(F.min("least").alias("best"))
-        least = least.join(best, "component").select("cls", F.col("best").alias("least"))
-    out = rows.join(least, "cls", "left").select("_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "_id").alias("_component"))
-    return out.select(public_id("_id").alias("doc_id"), "n_shingles", public_id("_component").alias("component_id"))
+    return linked(postings(own), fits, verify, again)
