@@ -1,0 +1,40 @@
+"""Tables of members and lines are deleted as soon as the next table is there."""
+
+import os
+
+import pyarrow.parquet as pq
+import pytest
+
+from triplake.llm import line_dedup, ngram_join, shared
+
+DOCS = [(k, "\n".join(f"w{k % 7} x{k % 5} y{j} common words of all lines" for j in range(6))) for k in range(40)]
+
+
+@pytest.fixture
+def tables(spark):
+    """Columns of the tables stored since the test began."""
+    folder = shared.shared_folder(spark).removeprefix("file:")
+    names = lambda: {x for x in os.listdir(folder) if x.startswith("table-")} if os.path.isdir(folder) else set()
+    before = names()
+    part = lambda x: next(f for f in sorted(os.listdir(f"{folder}/{x}")) if f.endswith(".parquet"))
+    return lambda: [pq.read_schema(f"{folder}/{x}/{part(x)}").names for x in sorted(names() - before)]
+
+
+def test_members_are_stored_once_when_lists_are_divided(spark, tables, monkeypatch):
+    seen, plain = [], ngram_join.divided_lists
+
+    def divided_lists(*args):
+        seen.append(sum("some" in columns for columns in tables()))
+        return plain(*args)
+
+    monkeypatch.setattr(ngram_join, "divided_lists", divided_lists)
+    out = ngram_join.similar_sets(spark.createDataFrame(DOCS, "doc_id long, text string"), size=5, percent=80)
+    assert out.count() == len(DOCS)
+    assert seen[0] == 1
+    assert not [columns for columns in tables() if {"some", "short", "bring"} & set(columns)]
+
+
+def test_no_table_of_all_lines_is_left(spark, tables):
+    out = line_dedup.dedup_lines(spark.createDataFrame(DOCS, "doc_id long, text string"))
+    assert [sorted(columns) for columns in tables()] == [["_doc", "_gone", "_hash"]]
+    assert out.count() == len(DOCS)

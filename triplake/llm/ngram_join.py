@@ -190,7 +190,8 @@ def divided_lists(classes: DataFrame, percent: int, below: int) -> DataFrame:
     # A set's own members come back to it, no more than it has.
     # Upper bits and length come as one number; lengths beyond its low bits are equally long, in all sets alike.
     entry = F.shiftleft("member", LENGTH_BITS).bitwiseOR(F.least("length", F.lit(2**LENGTH_BITS - 1)))
-    shared = held_by_several(classes, percent, below).select("node", entry.alias("entry")).groupBy("node").agg(F.collect_list("entry").alias("shared"))
+    # Stored, so that the packed exchange is gone from disk before the classes' members are exchanged.
+    shared = stored(held_by_several(classes, percent, below).select("node", entry.alias("entry")).groupBy("node").agg(F.collect_list("entry").alias("shared")))
     no = F.array().cast("array<long>")
 
     def divide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -210,20 +211,8 @@ def divided_lists(classes: DataFrame, percent: int, below: int) -> DataFrame:
 
 def similar_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row for each row of docs(doc_id, text): doc_id, n_shingles, component_id."""
-    spark = docs.sparkSession
     texts = docs.select(known_id().alias("_id"), "text")
-
-    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict = {}
-        for b in batches:
-            rows = []
-            for i, t in zip(b["_id"], b.text, strict=True):
-                s = shingles(t, size, known)
-                rows.append((i, len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, leading(s, percent)))
-            yield pd.DataFrame(rows, columns=["_id", "n", "key", "some"])
-
-    sets = stored(texts.mapInPandas(summed, "_id long, n int, key binary, some array<long>"))
-    groups = settled(lambda: class_groups(texts, sets, size, percent))
+    sets, groups = settled(lambda: class_groups(texts, size, percent))
     # From classes to documents: rows of an id belong together, and so do rows of a class.
     cls = F.coalesce("component", F.xxhash64("key"))
     rows = stored(sets.select("_id", "n", "key").join(groups.withColumnRenamed("node", "cls"), F.xxhash64("key") == F.col("cls"), "left").select("_id", "n", F.when(F.col("n") > 0, cls).alias("cls")))
@@ -239,13 +228,35 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
     return out.select(public_id("_id").alias("doc_id"), "n_shingles", public_id("_component").alias("component_id"))
 
 
-def class_groups(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
-    """(node, component) of the classes of equal sets(_id, n, key, some) that are linked to another; node is the key's hash."""
+def sets_and_classes(texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(_id, n, key) of every row of texts(_id, text), and node, _id, times, n, some of every class of equal sets."""
+
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict = {}
+        for b in batches:
+            rows = []
+            for i, t in zip(b["_id"], b.text, strict=True):
+                s = shingles(t, size, known)
+                rows.append((i, len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, leading(s, percent)))
+            yield pd.DataFrame(rows, columns=["_id", "n", "key", "some"])
+
+    sets = stored(texts.mapInPandas(summed, "_id long, n int, key binary, some array<long>"))
     # One row a set: its smallest document stands for it, and its lists are made once.
     of = lambda c: F.min_by(c, "_id").alias(c)
     classes = sets.where("n > 0").groupBy("key").agg(F.min("_id").alias("_id"), F.count(F.lit(1)).cast("int").alias("times"), of("n"), of("some"))
-    classes = stored(classes.select(F.xxhash64("key").alias("node"), "_id", "times", "n", "some"))
-    own = stored(divided_lists(classes, percent, counted_below(percent)))
+    return sets.select("_id", "n", "key"), classes.select(F.xxhash64("key").alias("node"), "_id", "times", "n", "some")
+
+
+def class_groups(texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(_id, n, key) of every row of texts(_id, text), and (node, component) of the classes of equal sets that are linked to
+    another; node is the key's hash."""
+
+    def divided_sets() -> tuple[DataFrame, DataFrame]:
+        # Members are the most that this join stores: each table of them goes as soon as the next one is there.
+        sets, classes = settled(lambda: sets_and_classes(texts, size, percent))
+        return sets, divided_lists(classes, percent, counted_below(percent))
+
+    sets, own = settled(divided_sets)
 
     def postings(lists: DataFrame) -> DataFrame:
         each = lists.select(F.posexplode("bring").alias("at", "bucket"), "node", (-F.col("times")).alias("rank"), "n", "place")
@@ -300,4 +311,4 @@ def class_groups(texts: DataFrame, sets: DataFrame, size: int, percent: int) ->
         some = stored(whole_sets(nodes).join(nodes, "node").select("node", "_id", "times", F.size("s").alias("n"), F.col("s").alias("some")))
         return postings(divided_lists(some, percent, 2**63 - 1)), fits
 
-    return linked(postings(own), fits, verify, again)
+    return sets, linked(postings(own), fits, verify, again)
